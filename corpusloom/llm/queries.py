@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import near_duplicates, repeated_lines, splitting
+from corpusloom.llm import markup, near_duplicates, repeated_lines, residue, splitting
 from corpusloom.session import ship, table
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return markup.markup_kinds(table(spark, sf, "documents"))
+
+
+def p3_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    return markup.clean_markup(table(spark, sf, "documents"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     pieces = splitting.split_documents(table(spark, sf, "documents"), table(spark, sf, "split_specs"), with_text=False)
     return pieces.where("piece_no = 0").select("doc_id", "spec_id", "cut_kind")
@@ -37,7 +45,15 @@ def p6_classes(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(table(spark, sf, "documents"), shingle=3, threshold=0.7, min_words=40)
 
 
-_QUERIES = (p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes)
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.template_residue(table(spark, sf, "documents"))
+
+
+def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.without_residue(table(spark, sf, "documents")).select("doc_id", "url", "title", "text")
+
+
+_QUERIES = (p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
