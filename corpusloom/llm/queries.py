@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import markup, near_duplicates, repeated_lines, residue, splitting
+from corpusloom.llm import main_content, markup, near_duplicates, repeated_lines, residue, splitting
 from corpusloom.session import ship, table
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return main_content.page_furniture(table(spark, sf, "documents"))
+
+
+def p1_articles(spark: SparkSession, sf: str) -> DataFrame:
+    return main_content.main_content(table(spark, sf, "documents"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return markup.markup_kinds(table(spark, sf, "documents"))
 
@@ -53,7 +61,7 @@ def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
     return residue.without_residue(table(spark, sf, "documents")).select("doc_id", "url", "title", "text")
 
 
-_QUERIES = (p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
+_QUERIES = (p1_found, p1_articles, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
