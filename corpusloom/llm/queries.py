@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import main_content, markup, near_duplicates, repeated_lines, residue, splitting
+from corpusloom.llm import canonical, main_content, markup, near_duplicates, repeated_lines, residue, splitting
 from corpusloom.session import ship, table
 
 
@@ -19,6 +19,24 @@ def p1_articles(spark: SparkSession, sf: str) -> DataFrame:
     return main_content.main_content(table(spark, sf, "documents"))
 
 
+def _mapped_values(spark: SparkSession, sf: str) -> DataFrame:
+    subtypes = table(spark, sf, "entity_subtypes").select("subtype_id", "name", F.lit(None).cast("array<string>").alias("alt_names"))
+    lists = {
+        "type": table(spark, sf, "entity_types").select("type_id", "name", "alt_names"),
+        "subtype": subtypes,
+        "information": table(spark, sf, "information_types").select("info_id", "name", "alt_names"),
+    }
+    return canonical.map_values(canonical.decision_values(table(spark, sf, "decisions")), lists)
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped_values(spark, sf).select("decision_id", "field_kind", "item_pos", "ref_id")
+
+
+def p2_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    return _mapped_values(spark, sf).where("ref_id = -1").groupBy("field_kind", "value").agg(F.count("*").alias("n"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return markup.markup_kinds(table(spark, sf, "documents"))
 
@@ -61,7 +79,7 @@ def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
     return residue.without_residue(table(spark, sf, "documents")).select("doc_id", "url", "title", "text")
 
 
-_QUERIES = (p1_found, p1_articles, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
+_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
