@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import canonical, main_content, markup, near_duplicates, repeated_lines, residue, splitting
+from corpusloom.llm import canonical, main_content, markup, mixing, near_duplicates, packing, repeated_lines, residue, splitting
 from corpusloom.session import ship, table
 
 
@@ -79,7 +79,23 @@ def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
     return residue.without_residue(table(spark, sf, "documents")).select("doc_id", "url", "title", "text")
 
 
-_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept)
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_specs"))
+
+
+def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill_report(p8_containers(spark, sf), table(spark, sf, "pack_specs"))
+
+
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+
+
+_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept, p8_containers, p8_fill, p9_mix, p9_shares)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
