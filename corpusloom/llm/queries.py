@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import canonical, main_content, markup, mixing, near_duplicates, packing, repeated_lines, residue, splitting
+from corpusloom.llm import canonical, main_content, markup, mixing, near_duplicates, packing, repeated_lines, residue, splitting, toxicity
 from corpusloom.session import ship, table
 
 
@@ -95,7 +95,25 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
 
 
-_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept, p8_containers, p8_fill, p9_mix, p9_shares)
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.fit(docs, table(spark, sf, "review_labels"), table(spark, sf, "flag_terms"))
+    return toxicity.score_documents(docs, model)
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.found_categories(_toxicity(spark, sf))
+
+
+def p10_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _toxicity(spark, sf)
+
+
+def p10_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.source_rates(_toxicity(spark, sf))
+
+
+_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_scores, p10_sources)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
