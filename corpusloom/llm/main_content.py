@@ -36,7 +36,8 @@ _FOLD = str.maketrans("ışçğüöâîûäéèáàêİ", "iscguoaiuaeeaaei", "
 
 def fold(line: str) -> str:
     """Lower case without diacritics, white space collapsed."""
-    return " ".join(line.lower().translate(_FOLD).replace("ß", "ss").split())
+    low = line.lower()
+    return " ".join((low if low.isascii() else low.translate(_FOLD).replace("ß", "ss")).split())
 
 
 # Labels of site sections, folded; what menus consist of.
@@ -60,32 +61,54 @@ _SIDEBAR = re.compile(
 )
 
 # Lines that speak for the site and not about the subject, folded.
-_CHROME = re.compile(
-    r"(?:we|this (?:site|page|website)|wir|.{1,40}) (?:uses?|sets?|setzt|setzen|verwenden|verwendet|nutzen|nutzt) cookies\b|\bcookies (?:to|um|zu)\b|\bcerez (?:kullan|politika|tercih|ayar)\w*|icin cerez"
-    r"|(?:stores?|saves?|places?) small files on your device|cihaziniza kucuk dosyalar|speichert kleine dateien"
-    r"|\bpartners? process(?:es)? (?:your )?data|ortagi .{0,80}veri isler|\bpartner verarbeiten daten"
-    r"|^by (?:staying|continuing) (?:on|to use)\b|^sitede kalarak|kayda onay verirsiniz|^(?:wer|wenn sie) (?:auf|bei) .{1,40} bleib|mit dem verbleib|durch (?:ihren|den) (?:verbleib|besuch)|stimmen sie (?:zu|der)"
-    r"|javascript (?:is (?:switched|turned) on|enabled|acikken|calisir durumda)|only (?:work )?(?:when|with) javascript|(?:laufen|funktionieren) nur mit javascript|yalniz(?:ca)? javascript"
-    r"|^(?:©|\(c\)|copyright)|all rights reserved|(?:tum|butun) haklari saklidir|alle rechte vorbehalten"
-    r"|may not be (?:reused|reproduced|copied)|reproduction in whole|izinsiz (?:kullanilamaz|cogaltilamaz|kopyalanamaz)|onayi olmadan|nicht ohne (?:erlaubnis|genehmigung|zustimmung)|(?:vervielfaltigung|nachdruck|wiedergabe),? (?:auch|nur|im)|auch auszugsweise|bedarf der zustimmung"
-    r"|(?:not|isn't) (?:answerable|responsible|liable) for (?:the )?content|linked pages|icerig\w+ sorumlu degil|baglanti verilen|haftet nicht|verlinkter? (?:seiten|inhalte)"
-    r"|^published by|^yayinci\b|^yayimlayan\b|^herausgeber|^herausgegeben von|registered under no|kayit no \d|vereinsregister|registernummer|\bregister ?nr"
-    r"|^(?:phone|telephone|telefon|tel|fax|faks|e-?mail|e-?posta)\.? ?:? ?[\d +()/.-]{5,}$"
-    r"|^back to (?:the )?top$|^yukari (?:cik|don)|^(?:zuruck )?nach oben$|^zum seitenanfang|^basa don$"
-    r"|^print this page|^sayfayi yazdir|^(?:diese )?seite (?:aus)?drucken|send it by mail|postayla gonder|per mail (?:senden|verschicken)"
-    r"|^(?:share|bu sayfayi .{0,30}paylas|paylas\b|diese seite .{0,30}teilen|teilen\b)|\barkadaslarinizla paylasin|mit freunden teilen|with your friends"
-    r"|^follow .{1,60}(?:for|on)\b|takip(?:te kalin| edin)|^folgen sie\b|^abonnieren sie|^subscribe(?: now| today|$| to (?:our|the .{0,30}(?:newsletter|letter)))|^abone ol"
-    r"|^sign up for|never miss a|bultenine kaydol|hicbir sayfayi kacirmayin|^melden sie sich .{0,60}(?:brief|newsletter)|(?:brief|newsletter) .{0,40}(?:abonnieren|bestellen|anmelden)|verpassen sie keine?|^.{0,40}(?:brief|newsletter) von .{1,40}|^(?:the .{1,40} )?(?:letter|newsletter|bulten|briefe?)$"
-    r"|^liked it\?|^begendiniz mi|^(?:hat es )?(?:ihnen )?gefallen\b.{0,40}\?|^gefallt(?: es)?\b.{0,40}\?|tell .{1,40} what you think|icin gorus yaz"
-    r"|^[\d.,]+ (?:readers?|people|okur|kisi|leser(?:innen)?|personen|menschen|mal|kez) .{0,60}(?:saved|shared|liked|kaydetti|paylasti|begendi|gemerkt|geteilt|gespeichert)|(?:saved|shared|read) this page$"
-    r"|^(?:advertisement|advertisements|advert|reklam|reklamlar|anzeige|anzeigen|werbung|ilan)$|^(?:sponsored|sponsorlu|gesponsert|promoted|anzeige|werbung|reklam|ilan) ?[:.-]"
-    r"|^jobs (?:at|bei)\b|is ilanlari$|^(?:stellen(?:angebote|anzeigen)?|jobs|arbeiten) (?:bei|in)\b .{1,40}$|^work (?:for|with) us"
-    r"|^(?:see (?:more|also)|read (?:also|more|on|next)|more|also read|see)\b ?: .{1,80}$|^(?:bunu da oku(?:yun)?|ayrica oku(?:yun)?|ayrica bak(?:iniz)?|devamini oku|oku|sunu da okuyun|ilginizi cekebilir)\b ?: .{1,80}$|^(?:siehe auch|lesen sie auch|mehr dazu|lesen sie mehr|auch lesenswert|mehr)\b ?: .{1,80}$"
-    r"|^continue reading\b|^read more$|devami asagida$|^devamini oku$|^(?:weiterlesen|weiter lesen)\b.{0,30}$|(?:artikel|bericht|text|beitrag) geht (?:unten|weiter)|unten weiter$|geht es weiter$"
-    r"|^by the .{1,40}(?:editorial|desk|staff|team)|^by (?:our|the) (?:staff|correspondent|editors?)|reported by our|correspondent for|^hazirlayan ?:|^haber ?: .{1,40}$|muhabirinin haberi|^metin ?:.{1,40}(?:ekibi|yazi)|son denetim|^text ?: .{1,60}(?:staff|team|redaktion|checked|gepruft)|last checked|zuletzt gepruft|^(?:von|aus) der redaktion\b|^(?:bericht|ein bericht) (?:unseres|unserer|von unser)|unsere[rs] korrespondent|korrespondent(?:in)? (?:fur|von)|^(?:words|text|story|photos?|yazan|yazi|fotograf|foto|worte) (?:by|von)\b.{1,60}$|^(?:yazan|fotograf|foto) ?: .{1,60}$|^(?:last )?(?:updated|guncelleme|aktualisiert|stand) ?:? .{0,30}\d{4}$|^(?:son guncelleme|zuletzt (?:aktualisiert|geandert))\b"
-    r"|belongs to (?:our|a) series|part of (?:our|a) series|dizimizin (?:bir )?parcasi|(?:gehort|teil) .{0,20}(?:unserer|einer) (?:reihe|serie)|aus unserer (?:reihe|serie)"
+_CHROME_START = re.compile(
+    r"by (?:staying|continuing) (?:on|to use)\b|sitede kalarak|(?:wer|wenn sie) (?:auf|bei) .{1,40} bleib|(?:©|\(c\)|copyright)|published by|yayinci\b"
+    r"|yayimlayan\b|herausgeber|herausgegeben von|(?:phone|telephone|telefon|tel|fax|faks|e-?mail|e-?posta)\.? ?:? ?[\d +()/.-]{5,}$|back to (?:the )?top$"
+    r"|yukari (?:cik|don)|(?:zuruck )?nach oben$|zum seitenanfang|basa don$|print this page|sayfayi yazdir|(?:diese )?seite (?:aus)?drucken"
+    r"|(?:share|bu sayfayi .{0,30}paylas|paylas\b|diese seite .{0,30}teilen|teilen\b)|follow .{1,60}(?:for|on)\b|folgen sie\b|abonnieren sie"
+    r"|subscribe(?: now| today|$| to (?:our|the .{0,30}(?:newsletter|letter)))|abone ol|sign up for|melden sie sich .{0,60}(?:brief|newsletter)"
+    r"|.{0,40}(?:brief|newsletter) von .{1,40}|(?:the .{1,40} )?(?:letter|newsletter|bulten|briefe?)$|liked it\?|begendiniz mi"
+    r"|(?:hat es )?(?:ihnen )?gefallen\b.{0,40}\?|gefallt(?: es)?\b.{0,40}\?"
+    r"|[\d.,]+ (?:readers?|people|okur|kisi|leser(?:innen)?|personen|menschen|mal|kez) .{0,60}(?:saved|shared|liked|kaydetti|paylasti|begendi|gemerkt|geteilt|gespeichert)"
+    r"|(?:advertisement|advertisements|advert|reklam|reklamlar|anzeige|anzeigen|werbung|ilan)$"
+    r"|(?:sponsored|sponsorlu|gesponsert|promoted|anzeige|werbung|reklam|ilan) ?[:.-]|jobs (?:at|bei)\b"
+    r"|(?:stellen(?:angebote|anzeigen)?|jobs|arbeiten) (?:bei|in)\b .{1,40}$|work (?:for|with) us"
+    r"|(?:see (?:more|also)|read (?:also|more|on|next)|more|also read|see)\b ?: .{1,80}$"
+    r"|(?:bunu da oku(?:yun)?|ayrica oku(?:yun)?|ayrica bak(?:iniz)?|devamini oku|oku|sunu da okuyun|ilginizi cekebilir)\b ?: .{1,80}$"
+    r"|(?:siehe auch|lesen sie auch|mehr dazu|lesen sie mehr|auch lesenswert|mehr)\b ?: .{1,80}$|continue reading\b|read more$|devamini oku$"
+    r"|(?:weiterlesen|weiter lesen)\b.{0,30}$|by the .{1,40}(?:editorial|desk|staff|team)|by (?:our|the) (?:staff|correspondent|editors?)|hazirlayan ?:"
+    r"|haber ?: .{1,40}$|metin ?:.{1,40}(?:ekibi|yazi)|text ?: .{1,60}(?:staff|team|redaktion|checked|gepruft)|(?:von|aus) der redaktion\b"
+    r"|(?:bericht|ein bericht) (?:unseres|unserer|von unser)|(?:words|text|story|photos?|yazan|yazi|fotograf|foto|worte) (?:by|von)\b.{1,60}$"
+    r"|(?:yazan|fotograf|foto) ?: .{1,60}$|(?:last )?(?:updated|guncelleme|aktualisiert|stand) ?:? .{0,30}\d{4}$"
+    r"|(?:son guncelleme|zuletzt (?:aktualisiert|geandert))\b"
+)
+_CHROME_ANY = re.compile(
+    r"(?:we|this (?:site|page|website)|wir|.{1,40}) (?:uses?|sets?|setzt|setzen|verwenden|verwendet|nutzen|nutzt) cookies\b|\bcookies (?:to|um|zu)\b"
+    r"|\bcerez (?:kullan|politika|tercih|ayar)\w*|icin cerez|(?:stores?|saves?|places?) small files on your device|cihaziniza kucuk dosyalar"
+    r"|speichert kleine dateien|\bpartners? process(?:es)? (?:your )?data|ortagi .{0,80}veri isler|\bpartner verarbeiten daten|kayda onay verirsiniz"
+    r"|mit dem verbleib|durch (?:ihren|den) (?:verbleib|besuch)|stimmen sie (?:zu|der)"
+    r"|javascript (?:is (?:switched|turned) on|enabled|acikken|calisir durumda)|only (?:work )?(?:when|with) javascript"
+    r"|(?:laufen|funktionieren) nur mit javascript|yalniz(?:ca)? javascript|all rights reserved|(?:tum|butun) haklari saklidir|alle rechte vorbehalten"
+    r"|may not be (?:reused|reproduced|copied)|reproduction in whole|izinsiz (?:kullanilamaz|cogaltilamaz|kopyalanamaz)|onayi olmadan"
+    r"|nicht ohne (?:erlaubnis|genehmigung|zustimmung)|(?:vervielfaltigung|nachdruck|wiedergabe),? (?:auch|nur|im)|auch auszugsweise|bedarf der zustimmung"
+    r"|(?:not|isn't) (?:answerable|responsible|liable) for (?:the )?content|linked pages|icerig\w+ sorumlu degil|baglanti verilen|haftet nicht"
+    r"|verlinkter? (?:seiten|inhalte)|registered under no|kayit no \d|vereinsregister|registernummer|\bregister ?nr|send it by mail|postayla gonder"
+    r"|per mail (?:senden|verschicken)|\barkadaslarinizla paylasin|mit freunden teilen|with your friends|takip(?:te kalin| edin)|never miss a"
+    r"|bultenine kaydol|hicbir sayfayi kacirmayin|(?:brief|newsletter) .{0,40}(?:abonnieren|bestellen|anmelden)|verpassen sie keine?"
+    r"|tell .{1,40} what you think|icin gorus yaz|(?:saved|shared|read) this page$|is ilanlari$|devami asagida$"
+    r"|(?:artikel|bericht|text|beitrag) geht (?:unten|weiter)|unten weiter$|geht es weiter$|reported by our|correspondent for|muhabirinin haberi|son denetim"
+    r"|last checked|zuletzt gepruft|unsere[rs] korrespondent|korrespondent(?:in)? (?:fur|von)|belongs to (?:our|a) series|part of (?:our|a) series"
+    r"|dizimizin (?:bir )?parcasi|(?:gehort|teil) .{0,20}(?:unserer|einer) (?:reihe|serie)|aus unserer (?:reihe|serie)"
     r"|(?:manage your choices|accept all|reject all|tumunu kabul et|alle annehmen|ablehnen ist ohne|read our privacy notice|gizlilik bildirimi)"
 )
+# What a line must hold to be worth _CHROME_ANY.
+_CHROME_WORDS = (
+    "cookies", "cerez", "small files", "kucuk dosya", "kleine dateien", "partner", "ortagi", "kayda onay", "verbleib", "besuch", "stimmen sie", "javascript", "rights reserved", "haklari sakl", "rechte vorbehalten",
+    "may not be", "reproduction", "izinsiz", "onayi olmadan", "nicht ohne", "vervielf", "nachdruck", "wiedergabe", "auszugsweise", "zustimmung", "for content", "for the content", "linked pages", "sorumlu degil",
+    "baglanti verilen", "haftet", "verlinkt", "registered", "kayit no", "register", "by mail", "postayla", "per mail", "arkadaslarinizla", "freunden", "friends", "takip", "never miss", "bultenine", "kacirmayin",
+    "newsletter", "brief", "verpassen", "you think", "gorus yaz", "this page", "is ilanlari", "asagida", "geht ", "unten weiter", "reported by", "correspondent", "muhabirinin", "son denetim", "last checked", "zuletzt",
+    "korrespondent", "series", "dizimizin", "reihe", "serie", "choices", "accept all", "reject all", "kabul et", "alle annehmen", "ablehnen", "privacy", "gizlilik",
+)
 _SENTENCE = re.compile(r"[.!?…][\"'”’»)]?$")
 _ADDRESS = re.compile(r"^[^\W\d][\w'-]*(?: [^\W\d][\w'-]*)?, (?:\d+ [^\d,]{3,40}|[^\d,]{3,40} \d+), [^\W\d][\w' -]{1,40}$")
 _BREADCRUMB = re.compile(r"^[^>›»]{1,40}(?: [>›»] [^>›»]{1,80}){1,6}$")
@@ -143,6 +166,11 @@ def _is_menu(f: str) -> bool:
     return len(ws) >= 3 and all(w in _SECTION_WORDS for w in ws)
 
 
+def _is_chrome(f: str) -> bool:
+    """Whether a folded line speaks for the site."""
+    return _CHROME_START.match(f) is not None or (any(x in f for x in _CHROME_WORDS) and _CHROME_ANY.search(f) is not None)
+
+
 def mark_links(lines: list[Line | None]) -> None:
     """Count the characters of lines that are the site's own labels as link characters."""
     n, k = len(lines), 0
@@ -169,7 +197,7 @@ def mark_links(lines: list[Line | None]) -> None:
                 entries += 1
                 k += 1
             continue
-        if _is_menu(f) or (len(f) <= 260 and _CHROME.search(f)) or (" > " in f and "<" not in f and _BREADCRUMB.match(f) and not _SENTENCE.search(f)) or _ADDRESS.match(x.plain):
+        if _is_menu(f) or (len(f) <= 260 and _is_chrome(f)) or (" > " in f and "<" not in f and _BREADCRUMB.match(f) and not _SENTENCE.search(f)) or _ADDRESS.match(x.plain):
             x.link_chars, x.link_tags = x.chars, max(1, x.link_tags)
 
 
