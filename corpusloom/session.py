@@ -19,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, read by at least as many tasks as there are cores.
+
+    Only an input of fewer splits than cores is shuffled, whose size is bounded
+    by the split size times the cores; larger inputs are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents table for stages that work hard on every row."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors once per application.
 
