@@ -21,7 +21,8 @@ _UNSAFE = r'[<>:"/\\|?*]'
 def keep_title(title: Column, blocked: tuple[str, ...] = BLOCKED_NAMESPACES) -> Column:
     """False for null and blank titles and those whose prefix before the first colon is a blocked name space."""
     prefix = casefold(strip(F.substring_index(title, ":", 1)))
-    return F.coalesce((strip(title) != "") & ~(F.contains(title, F.lit(":")) & prefix.isin(*blocked)), F.lit(False))
+    # the cheap tests come first: most titles have no colon and need no folding
+    return F.coalesce(F.rlike(title, F.lit(r"(?U)\S")) & ~(F.contains(title, F.lit(":")) & prefix.isin(*blocked)), F.lit(False))
 
 
 def article_url(title: Column, base: str) -> Column:

@@ -38,6 +38,7 @@ def expand(seeds: DataFrame, links: DataFrame, keep=keep_title) -> tuple[DataFra
         F.lit(1).cast("long").alias("total"),
     ).dropDuplicates(["seed"])
     entities, claims = level, None
+    seen = level.select("seed", F.col("title").alias("dst"))
     for depth in range(1, max((r.max_depth or 0 for r in rows), default=0) + 1):
         # the entity that reaches the limit ends the search and is not expanded
         front = level.where((F.col("depth") < F.col("max_depth")) & (F.col("rank") < F.col("most"))).select("seed", F.col("title").alias("src"), F.col("rank").alias("prank"), "max_depth", "most", "total")
@@ -45,8 +46,8 @@ def expand(seeds: DataFrame, links: DataFrame, keep=keep_title) -> tuple[DataFra
         first = found.groupBy("seed", "dst").agg(
             F.min(F.struct("prank", "ord", "src")).alias("claim"), F.first("max_depth").alias("max_depth"), F.first("most").alias("most"), F.first("total").alias("before")
         )
-        seen = entities.select("seed", F.col("title").alias("dst"))
-        new = first.join(F.broadcast(seen) if small else seen, ["seed", "dst"], "left_anti")
+        # children beyond the limit are claimed as well, so they count as seen although they are no entities
+        new = first.join(seen, ["seed", "dst"], "left_anti")
         order = Window.partitionBy("seed").orderBy("claim.prank", "claim.ord", "dst")
         # ranks are consecutive, so the greatest of a level is the number of entities so far
         rank = F.col("before") + F.row_number().over(order)
@@ -57,6 +58,7 @@ def expand(seeds: DataFrame, links: DataFrame, keep=keep_title) -> tuple[DataFra
         claims = part if claims is None else claims.union(part)
         level = ranked.where("rank <= most").drop("claim").withColumn("total", F.max("rank").over(Window.partitionBy("seed")))
         entities = entities.union(level)
+        seen = seen.union(ranked.select("seed", F.col("title").alias("dst")))
     if claims is None:
         claims = entities.select("seed", "parent", F.lit(0).alias("pos"), F.col("title").alias("child")).limit(0)
     return entities.select("seed", "title", "depth", "parent", "rank"), claims

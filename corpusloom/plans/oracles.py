@@ -63,16 +63,18 @@ def _bfs(result: str, depth: int = 4) -> str:
         f"e AS (SELECT * FROM links WHERE src IS NOT NULL AND {_keep('dst')})",
         "l0 AS (SELECT title AS seed, title, 0 AS depth, NULL::VARCHAR AS parent, 1::BIGINT AS rank, max_depth, entity_limit FROM seeds)",
         "a0 AS (SELECT * FROM l0)",
+        "s0 AS (SELECT seed, title FROM l0)",
     ]
     for k in range(1, depth + 1):
         p = k - 1
         out.append(f"""f{k} AS (SELECT f.seed, e.dst, min(struct_pack(r := f.rank, o := e.ord, s := e.src)) AS c, any_value(f.max_depth) AS max_depth, any_value(f.entity_limit) AS entity_limit
             FROM l{p} f JOIN e ON e.src = f.title WHERE f.depth < f.max_depth AND f.rank < f.entity_limit
-              AND NOT EXISTS (SELECT 1 FROM a{p} x WHERE x.seed = f.seed AND x.title = e.dst) GROUP BY f.seed, e.dst)""")
+              AND NOT EXISTS (SELECT 1 FROM s{p} x WHERE x.seed = f.seed AND x.title = e.dst) GROUP BY f.seed, e.dst)""")
         out.append(f"""r{k} AS (SELECT f.seed, dst AS title, {k} AS depth, c.s AS parent, (SELECT count(*) FROM a{p} x WHERE x.seed = f.seed) + row_number() OVER (PARTITION BY f.seed ORDER BY c.r, c.o, dst) AS rank,
             max_depth, entity_limit, c FROM f{k} f)""")
         out.append(f"l{k} AS (SELECT seed, title, depth, parent, rank, max_depth, entity_limit FROM r{k} WHERE rank <= entity_limit)")
         out.append(f"a{k} AS (SELECT * FROM a{p} UNION ALL SELECT * FROM l{k})")
+        out.append(f"s{k} AS (SELECT * FROM s{p} UNION ALL SELECT seed, title FROM r{k})")
     claims = " UNION ALL ".join(f"SELECT seed, parent, (row_number() OVER (PARTITION BY seed, parent ORDER BY c.o, title) - 1)::INTEGER AS pos, title AS child FROM r{k}" for k in range(1, depth + 1))
     last = f"SELECT seed, title, depth, parent, rank FROM a{depth}" if result == "entities" else claims
     return "WITH " + ",\n".join(out) + "\n" + last
