@@ -18,7 +18,7 @@ shared by many representatives is split into blocks whose pairs are separate
 join keys, so no task sees an unbounded group.
 
 Defined results: null and empty texts and texts under ``min_words`` words take
-part in no pair; texts whose shingle sets are equal have similarity 1.
+part in no pair, nor do rows without a doc_id; texts whose shingle sets are equal have similarity 1.
 """
 
 from __future__ import annotations
@@ -157,7 +157,7 @@ def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0
     Returns ``links`` (a, b, similarity), a < b, and ``members`` (doc_id, rep):
     every document with shingles and the smallest doc_id with the same set.
     """
-    sets = cut(docs.select("doc_id", "text").mapInArrow(_sets(shingle, min_words), "doc_id long, set_key long, set array<int>"), "shingle-sets")
+    sets = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_sets(shingle, min_words), "doc_id long, set_key long, set array<int>"), "shingle-sets")
     members = sets.select("doc_id", "set_key").join(sets.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "set_key").select("doc_id", "rep")
     reps = sets.join(sets.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")), ["set_key", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "set")
     sigs = reps.mapInArrow(_signatures(segments, width), "sig long, rep long, n int")

@@ -8,15 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import canonical, main_content, markup, mixing, near_duplicates, packing, repeated_lines, residue, splitting, toxicity
-from corpusloom.session import ship, table
+from corpusloom.session import documents, ship, table
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return main_content.page_furniture(table(spark, sf, "documents"))
+    return main_content.page_furniture(documents(spark, sf))
 
 
 def p1_articles(spark: SparkSession, sf: str) -> DataFrame:
-    return main_content.main_content(table(spark, sf, "documents"))
+    return main_content.main_content(documents(spark, sf))
 
 
 def _mapped_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -38,49 +38,49 @@ def p2_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
-    return markup.markup_kinds(table(spark, sf, "documents"))
+    return markup.markup_kinds(documents(spark, sf))
 
 
 def p3_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return markup.clean_markup(table(spark, sf, "documents"))
+    return markup.clean_markup(documents(spark, sf))
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
-    pieces = splitting.split_documents(table(spark, sf, "documents"), table(spark, sf, "split_specs"), with_text=False)
+    pieces = splitting.split_documents(documents(spark, sf), table(spark, sf, "split_specs"), with_text=False)
     return pieces.where("piece_no = 0").select("doc_id", "spec_id", "cut_kind")
 
 
 def p4_pieces(spark: SparkSession, sf: str) -> DataFrame:
-    return splitting.split_documents(table(spark, sf, "documents"), table(spark, sf, "split_specs"))
+    return splitting.split_documents(documents(spark, sf), table(spark, sf, "split_specs"))
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return repeated_lines.repeated_lines(table(spark, sf, "documents")).select("doc_id", "line_no")
+    return repeated_lines.repeated_lines(documents(spark, sf)).select("doc_id", "line_no")
 
 
 def p5_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return repeated_lines.without_repeated_lines(table(spark, sf, "documents")).select("doc_id", "source", "clean_text", "n_removed")
+    return repeated_lines.without_repeated_lines(documents(spark, sf)).select("doc_id", "source", "clean_text", "n_removed")
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    links, members = near_duplicates.near_duplicate_links(table(spark, sf, "documents"), shingle=3, threshold=0.7, min_words=40)
+    links, members = near_duplicates.near_duplicate_links(documents(spark, sf), shingle=3, threshold=0.7, min_words=40)
     return near_duplicates.document_pairs(links, members)
 
 
 def p6_classes(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates.near_duplicate_classes(table(spark, sf, "documents"), shingle=3, threshold=0.7, min_words=40)
+    return near_duplicates.near_duplicate_classes(documents(spark, sf), shingle=3, threshold=0.7, min_words=40)
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
-    return residue.template_residue(table(spark, sf, "documents"))
+    return residue.template_residue(documents(spark, sf))
 
 
 def p7_kept(spark: SparkSession, sf: str) -> DataFrame:
-    return residue.without_residue(table(spark, sf, "documents")).select("doc_id", "url", "title", "text")
+    return residue.without_residue(documents(spark, sf)).select("doc_id", "url", "title", "text")
 
 
 def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf, "documents"), table(spark, sf, "pack_specs"))
+    return packing.pack_documents(documents(spark, sf), table(spark, sf, "pack_specs"))
 
 
 def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,15 +88,15 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix_documents(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[0]
+    return mixing.mix_documents(documents(spark, sf), table(spark, sf, "mix_targets"))[0]
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix_documents(table(spark, sf, "documents"), table(spark, sf, "mix_targets"))[1]
+    return mixing.mix_documents(documents(spark, sf), table(spark, sf, "mix_targets"))[1]
 
 
 def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     model = toxicity.fit(docs, table(spark, sf, "review_labels"), table(spark, sf, "flag_terms"))
     return toxicity.score_documents(docs, model)
 
