@@ -51,7 +51,7 @@ def plan_mixes(sizes: list[tuple[str, int]], targets: list[tuple[int, str, float
         own = [(n, (n or "").strip().lower(), s or 0.0, r or 0) for m, n, s, r in targets if m == mix]
         usable = [(k, s, r) for _, k, s, r in own if s > 0 and r > 0 and by_type.get(k, 0) > 0]
         weight = sum(s for _, s, _ in usable)
-        feasible = min((int(by_type[k] * r / (s / weight)) for k, s, r in usable), default=0)
+        feasible = min((by_type[k] * r / (s / weight) for k, s, r in usable), default=0)
         want = feasible if total is None or mix not in total else total[mix]
         for named, k, s, r in own:
             size, share = by_type.get(k, 0), (s / weight if weight and (k, s, r) in usable else 0.0)
