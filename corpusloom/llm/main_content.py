@@ -143,7 +143,7 @@ class Line:
             if chrome:
                 link_chars, links = len(plain), max(1, links)
         self.listed = bool(_LISTED.match(raw))
-        plain = _TRAIL.sub("", _LEAD.sub("", plain.strip())).strip("*_' ")
+        plain = " ".join(_TRAIL.sub("", _LEAD.sub("", plain.strip())).strip("*_' ").split())
         self.plain = plain
         self.chars, self.tags, self.link_chars, self.link_tags = len(plain), tags + links, min(link_chars, len(plain)), links
         if self.link_chars >= 0.9 * len(plain.strip()) and links:
