@@ -21,9 +21,13 @@ def json_variant(reply: Column) -> Column:
     def fenced(text: Column) -> Column:
         return F.when(F.rlike(text, F.lit(_FENCED)), strip(F.regexp_extract(text, _FENCED, 1))).otherwise(text)
 
+    def whole(x: Column) -> Column:
+        # the parser ignores what follows a value: inside brackets it can't, and there must be one value only
+        wrapped = F.try_parse_json(F.concat(F.lit("["), x, F.lit("]")))
+        return let(wrapped, lambda v: F.when(F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant")))
+
     def parsed(body: Column) -> Column:
-        inner = strip(F.regexp_extract(body, _BRACKETED, 1))
-        return F.coalesce(F.try_parse_json(F.nullif(body, F.lit(""))), F.try_parse_json(F.nullif(inner, F.lit(""))))
+        return F.coalesce(whole(body), whole(strip(F.regexp_extract(body, _BRACKETED, 1))))
 
     return let(let(strip(reply), fenced), parsed)
 

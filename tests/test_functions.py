@@ -120,7 +120,9 @@ def test_clean_one(spark):
 def test_json_variant(spark):
     rows = ['{"a":1}', '```json\n{"a":1}\n```', '```JSON\n{"a":1}\n```', 'so: {"a":1} done', '[1] {"a":1}', '{"a":"\\("}', "", None]
     got = values(spark, rows, F.to_json(replies.json_variant(F.col("x"))))
-    assert got == ['{"a":1}', '{"a":1}', '{"a":1}', '{"a":1}', "[1]" if got[4] else None, None, None, None]
+    assert got == ['{"a":1}', '{"a":1}', '{"a":1}', '{"a":1}', "[1]", None, None, None]
+    trailing = ['[1] {"a":"[x]"}', '{"a":1} {"b":2}', "1, 2", '{"a":1}]', "[]", "no [1] here"]
+    assert values(spark, trailing, F.to_json(replies.json_variant(F.col("x")))) == [None, None, None, '{"a":1}', "[]", "[1]"]
 
 
 def test_title_or_heading(spark):
