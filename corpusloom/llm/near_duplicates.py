@@ -151,6 +151,11 @@ def _candidate_pairs(sigs: DataFrame, threshold: float) -> DataFrame:
     return a.join(b, on & (F.col("a.rep") < F.col("b.rep")) & near & once).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
 
 
+def _small(ids: DataFrame, most: int = 200_000) -> DataFrame:
+    """``ids`` to be broadcast if they are counted to be few, else to be joined as they come; the large side is then not shuffled."""
+    return F.broadcast(ids) if ids.count() <= most else ids
+
+
 def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0.8, min_words: int = 1, segments: int = 14, width: int = 6) -> tuple[DataFrame, DataFrame]:
     """Links between representatives and the membership.
 
@@ -158,11 +163,14 @@ def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0
     every document with shingles and the smallest doc_id with the same set.
     """
     sets = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_sets(shingle, min_words), "doc_id long, set_key long, set array<int>"), "shingle-sets")
-    members = sets.select("doc_id", "set_key").join(sets.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "set_key").select("doc_id", "rep")
-    reps = sets.join(sets.groupBy("set_key").agg(F.min("doc_id").alias("doc_id")), ["set_key", "doc_id"], "left_semi").select(F.col("doc_id").alias("rep"), "set")
+    keys = sets.select("doc_id", "set_key")
+    members = cut(keys.join(keys.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "set_key").select("doc_id", "rep"), "members")
+    copies = members.where("doc_id <> rep").select("doc_id")
+    reps = sets.join(_small(copies), "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), "set")
     sigs = reps.mapInArrow(_signatures(segments, width), "sig long, rep long, n int")
     pairs = cut(_candidate_pairs(sigs, threshold), "candidate-pairs")
-    plain = sets.select(F.col("doc_id").alias("rep"), "set")
+    named = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    plain = sets.join(_small(cut(named, "candidates")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "set")
     both = pairs.join(plain.select(F.col("rep").alias("a"), F.col("set").alias("sa")), "a").join(plain.select(F.col("rep").alias("b"), F.col("set").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     links = (
@@ -177,7 +185,6 @@ def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0
 def document_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
     """All pairs of documents (doc_id_a < doc_id_b): links expanded by membership, and copies."""
     links = cut(links, "links")
-    members = cut(members, "members")
     linked = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).distinct()
     lone = members.join(linked, "rep", "left_semi")
     ma, mb = lone.select(F.col("rep").alias("a"), F.col("doc_id").alias("x")), lone.select(F.col("rep").alias("b"), F.col("doc_id").alias("y"))
