@@ -63,6 +63,8 @@ _NUMBERS = re.compile(r"\d+(?:[.,]\d+)*")
 # Encoded data and addresses, which are no language.
 _BLOB = re.compile(r"\S{50,}")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”»)]*[ \t]+")
+# A line end that only wraps a sentence: the next line goes on in lower case or with a number.
+_WRAP = re.compile(r"([^\s.!?:;|>])[ \t]*\r?\n(?=[a-zçğıöşüâîûäß0-9])")
 _WORD = re.compile(r"[^\W\d_]+")
 _SPEECH = re.compile(r"[^\W\d_]{2}.*[^\W\d_]{3}")
 
@@ -94,25 +96,11 @@ def plain(text: str) -> str:
     return _NUMBERS.sub("0", s)
 
 
-def _unwrapped(s: str) -> Iterator[str]:
-    """Paragraphs: lines that were only wrapped are joined."""
-    part: list[str] = []
-    for x in s.split("\n"):
-        x = x.strip()
-        if x:
-            part.append(x)
-        if part and (len(x) < 45 or x[-1] in ".!?:"):
-            yield " ".join(part)
-            part = []
-    if part:
-        yield " ".join(part)
-
-
 def windows(text: str, most: int = 240) -> list[str]:
     """Sentences of the plain text; longer ones in pieces."""
     out = []
-    for para in _unwrapped(plain(text)):
-        for x in _SENTENCE.split(para):
+    for para in plain(_WRAP.sub(r"\1 ", text)).split("\n"):
+        for x in _SENTENCE.split(para.strip()):
             if "  " in x or "\t" in x:
                 x = " ".join(x.split())
             while len(x) > most:
@@ -299,17 +287,34 @@ def _fit(fit: list[tuple[list[str], set[str]]], terms: list[tuple[str, str, int]
                 used[head] += 1
                 lines.append(w)
                 n += len(w) + 1
-    return Model(toxic, "\n".join(reversed(lines)).encode(), 0.3)
+    model = Model(toxic, "\n".join(reversed(lines)).encode(), 0.12)
+    if not toxic:
+        return model
+    # ordinary windows that the dictionaries take for toxic ones are what the ordinary one lacks
+    lacking, used = [], Counter()
+    for ws, cats in fit:
+        if cats == {"none"}:
+            for w in ws:
+                head = " ".join(w.split()[:2])
+                if used[head] < 4 and model.scores(w)[0] >= 0.12 and toxic_score(w) < 0.5:
+                    used[head] += 1
+                    lacking.append(w)
+    extra = "\n".join(lacking[-1500:])
+    return Model(toxic, (("\n".join(reversed(lines)) + "\n" + extra) if extra else "\n".join(reversed(lines))).encode(), 0.3)
 
 
 def _without_copies(rows: list[tuple[list[str], set[str]]]) -> list[tuple[list[str], set[str]]]:
-    """Rows whose windows were not mostly seen in an earlier row, so that copies don't count as evidence twice."""
-    seen: set[str] = set()
+    """Rows whose own windows were not mostly seen in an earlier row, so that copies don't count as evidence twice.
+
+    Windows that come again and again are the site's, and tell nothing about copying.
+    """
+    seen: Counter = Counter()
     out = []
     for ws, cats in rows:
-        if len(ws) < 3 or sum(w in seen for w in ws) <= 0.4 * len(ws):
+        own = [w for w in ws if seen[w] < 5]
+        if (own or len(ws) < 4) and (len(own) < 3 or sum(seen[w] > 0 for w in own) <= 0.4 * len(own)):
             out.append((ws, cats))
-            seen.update(ws)
+            seen.update(set(ws))
     return out
 
 
@@ -333,7 +338,8 @@ def fit(docs: DataFrame, labels: DataFrame, terms: DataFrame, per_category: int
     """A model from a bounded sample of the labelled documents.
 
     ``labels`` needs doc_id, category; at most ``per_category`` documents of a
-    category and ``ordinary`` labelled none are read, in the order of a hash.
+    category and ``ordinary`` others are read, in the order of a hash: those
+    labelled none, and where they are fewer, unlabelled ones.
     """
     category = F.lower(F.trim("category"))
     by_doc = labels.select("doc_id", category.alias("c")).where(F.col("c").isin("none", *CATEGORIES)).groupBy("doc_id").agg(F.collect_set("c").alias("cats"))
@@ -348,7 +354,13 @@ def fit(docs: DataFrame, labels: DataFrame, terms: DataFrame, per_category: int
         share = min(1.0, most / max(1, n))
         keep = keep | ((F.col("main") == k) & (F.pmod("h", F.lit(1_000_000)) < int(share * 1_000_000)))
     sample = ranked.where(keep).join(docs.select("doc_id", "text"), "doc_id").select("doc_id", "cats", "text")
-    rows = sorted(sample.limit(3 * per_category + ordinary + 2000).collect(), key=lambda r: r.doc_id)
+    lacking = ordinary - counts.get("none", 0)
+    if lacking > 0:
+        # few labels: unlabelled documents, nearly all of them ordinary, make up the number
+        share = min(1.0, lacking / max(1, docs.count()))
+        more = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000)))
+        sample = sample.union(more.join(by_doc.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.array(F.lit("none")).alias("cats"), "text"))
+    rows = sorted(sample.limit(3 * per_category + ordinary + 2000).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
     known = [(r.term, (r.category or "").strip().lower(), r.severity) for r in terms.select("term", "category", "severity").limit(10_000).collect() if r.term]
     return train([(r.text, {*r.cats} - {"none"} or {"none"}) for r in rows], known)
 
