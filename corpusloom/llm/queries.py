@@ -95,14 +95,14 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf), table(spark, sf, "mix_targets"))[1]
 
 
-def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+def _toxicity(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
     docs = documents(spark, sf)
     model = toxicity.fit(docs, table(spark, sf, "review_labels"), table(spark, sf, "flag_terms"))
-    return toxicity.score_documents(docs, model)
+    return toxicity.score_documents(docs, model, exact)
 
 
 def p10_found(spark: SparkSession, sf: str) -> DataFrame:
-    return toxicity.found_categories(_toxicity(spark, sf))
+    return toxicity.found_categories(_toxicity(spark, sf, exact=False))
 
 
 def p10_scores(spark: SparkSession, sf: str) -> DataFrame:

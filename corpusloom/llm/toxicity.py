@@ -19,8 +19,10 @@ document is scored.
 Windows are read past disguises: invisible characters, look-alike letters,
 digits for letters, letters stretched or spaced out, capitals.
 
-Defined results: null and empty texts score 0 and have no category; without
-any usable label nothing is found; labels are compared trimmed and in lower
+Defined results: null and empty texts score 0 and have no category; so does
+text that no toxic dictionary compresses better than the ordinary one. Every
+other score is the document's real best saving, below the threshold too;
+without any usable label nothing is found; labels are compared trimmed and in lower
 case, null labels ignored.
 """
 
@@ -145,16 +147,24 @@ class Model:
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
-    def scores(self, window: str) -> tuple[float, str | None]:
-        """(relative saving of the best toxic dictionary, its category)."""
+    def _compressors(self) -> tuple:
         if self._ready is None:
             self._ready = (Compressor(b"\n".join(self.toxic.values())), Compressor(self.ordinary), {k: Compressor(v) for k, v in self.toxic.items()})
-        union, ordinary, each = self._ready
+        return self._ready
+
+    def scores(self, window: str, low: bool = True) -> tuple[float, str | None]:
+        """(relative saving of the best toxic dictionary, its category).
+
+        Without ``low`` a window that can't reach the threshold gets 0 unread.
+        """
         raw = window.encode()
-        u = union.size(raw)
-        # the ordinary length is at most that of the window and a frame, which bounds the saving
-        if 1 - u / (len(raw) + 12) < self.threshold:
+        u = self._compressors()[0].size(raw)
+        if not low and _bound(raw, u) < self.threshold:
             return 0.0, None
+        return self._saving(raw, u)
+
+    def _saving(self, raw: bytes, u: int) -> tuple[float, str | None]:
+        _, ordinary, each = self._compressors()
         o = ordinary.size(raw)
         saving = (o - u) / o
         if saving < self.threshold:
@@ -163,11 +173,23 @@ class Model:
         best = min(sizes, key=lambda k: (sizes[k], k))
         return max(saving, (o - sizes[best]) / o), best
 
-    def document(self, text: str | None) -> dict[str, float]:
-        """The best score of each category; the overall best under ''."""
+    def document(self, text: str | None, exact: bool = True) -> dict[str, float]:
+        """The best score of each category; the overall best under ''.
+
+        Without ``exact`` the overall best is only right from the threshold on.
+        """
         out = {"": 0.0}
+        union = self._compressors()[0]
+        sized = []
         for w in windows(text) if text else ():
-            s, k = self.scores(w)
+            raw = w.encode()
+            u = union.size(raw)
+            sized.append((_bound(raw, u), u, raw))
+        # the likeliest windows first: one whose bound is below the threshold and no more than the best so far changes nothing
+        for bound, u, raw in sorted(sized, reverse=True):
+            if bound < self.threshold and (not exact or bound <= out[""]):
+                break
+            s, k = self._saving(raw, u)
             if s > out[""]:
                 out[""] = s
             if k and s >= self.threshold and s > out.get(k, 0.0):
@@ -175,6 +197,11 @@ class Model:
         return out
 
 
+def _bound(raw: bytes, u: int) -> float:
+    """The most that a window can save: its ordinary length is at most its own and that of a frame."""
+    return 1 - u / (len(raw) + 12)
+
+
 def train(labelled: list[tuple[str, set[str]]], terms: list[tuple[str, str, int]], size: int = 100_000, ordinary_size: int = 130_000) -> Model:
     """Model from (text, categories; {'none'} for ordinary) and flag terms (term, category, severity).
 
@@ -190,7 +217,7 @@ def train(labelled: list[tuple[str, set[str]]], terms: list[tuple[str, str, int]
         trained.threshold = 9.0
         return trained
     trained.threshold = 0.15
-    marks = sorted(((max((trained.scores(w)[0] for w in ws), default=0.0), bool(cats - {"none"})) for ws, cats in held), reverse=True)
+    marks = sorted(((max((trained.scores(w, low=False)[0] for w in ws), default=0.0), bool(cats - {"none"})) for ws, cats in held), reverse=True)
     final = _fit(_without_copies(rows), terms, size, ordinary_size)
     final.threshold = _calibrate(marks)
     return final
@@ -296,7 +323,7 @@ def _fit(fit: list[tuple[list[str], set[str]]], terms: list[tuple[str, str, int]
         if cats == {"none"}:
             for w in ws:
                 head = " ".join(w.split()[:2])
-                if used[head] < 4 and model.scores(w)[0] >= 0.12 and toxic_score(w) < 0.5:
+                if used[head] < 4 and model.scores(w, low=False)[0] >= 0.12 and toxic_score(w) < 0.5:
                     used[head] += 1
                     lacking.append(w)
     extra = "\n".join(lacking[-1500:])
@@ -368,12 +395,12 @@ def fit(docs: DataFrame, labels: DataFrame, terms: DataFrame, per_category: int
 _OUT = pa.schema([("doc_id", pa.int64()), ("source", pa.string()), ("score", pa.float64()), ("abusive", pa.float64()), ("hateful", pa.float64()), ("sexual", pa.float64())])
 
 
-def _score(model: Model):
+def _score(model: Model, exact: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
             for i, source, text in zip(*(c.to_pylist() for c in b.columns)):
-                d = model.document(text)
+                d = model.document(text, exact)
                 rows.append((i, source, d[""], *(d.get(k, 0.0) for k in CATEGORIES)))
             cols = list(zip(*rows)) if rows else [[] for _ in _OUT]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
@@ -381,9 +408,12 @@ def _score(model: Model):
     return run
 
 
-def score_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, source, score, abusive, hateful, sexual) of every document; a category below the threshold is 0."""
-    return docs.select("doc_id", "source", "text").mapInArrow(_score(model), "doc_id long, source string, score double, abusive double, hateful double, sexual double")
+def score_documents(docs: DataFrame, model: Model, exact: bool = True) -> DataFrame:
+    """(doc_id, source, score, abusive, hateful, sexual) of every document; a category below the threshold is 0.
+
+    Without ``exact`` scores below the threshold may be 0, which is quicker and changes no category.
+    """
+    return docs.select("doc_id", "source", "text").mapInArrow(_score(model, exact), "doc_id long, source string, score double, abusive double, hateful double, sexual double")
 
 
 def found_categories(scores: DataFrame) -> DataFrame:

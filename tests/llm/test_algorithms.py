@@ -223,6 +223,23 @@ def test_held_out_accuracy():
     assert hits >= 0.95 * sum(len(b) for _, b in found) and hits >= 0.95 * sum(len(a) for a, _ in found)
 
 
+def test_scores_below_the_threshold_are_real():
+    rng = random.Random(9)
+    model = toxicity.train(corpus(rng, 400), [("donkey", "abusive", 1)])
+    model.threshold = 0.8
+    union, ordinary = toxicity.Compressor(b"\n".join(model.toxic.values())), toxicity.Compressor(model.ordinary)
+    texts = [t for t, _ in corpus(rng, 150)] + ["You grey mill, everyone in the market knows it. Singles of the harbour guild."]
+    real = {}
+    for t in texts:
+        sizes = [(union.size(raw), ordinary.size(raw)) for raw in map(str.encode, toxicity.windows(t))]
+        real[t] = max([0.0, *((o - u) / o for u, o in sizes)])
+    below = [t for t in texts if 0 < real[t] < model.threshold]
+    assert below and [model.document(t)[""] for t in below] == [real[t] for t in below]
+    for t in texts:
+        got, quick = model.document(t), model.document(t, exact=False)
+        assert {k: v for k, v in got.items() if k} == {k: v for k, v in quick.items() if k}
+
+
 def test_minhash_symbols_estimate_similarity():
     words = [f"w{k}" for k in range(300)]
     h = near_duplicates._Hashes()
