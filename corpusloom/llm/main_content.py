@@ -8,12 +8,18 @@ has characters C, tags T, link characters LC and link tags LT, and the density
 
 where LCb and Cb are those of the body. Text that is nothing but the site's
 own links or labels counts as link characters although the anchors were lost
-when the page was fetched: menus, paths, notices, share prompts, legal lines.
-Child densities are summed; the subtree with the largest sum is the article's,
-and the smallest density on its path to the body, bounded by that of a short
-sentence, is the threshold for lines elsewhere. Within the subtree a line
-stays unless all its characters are link characters, so headings, lists and
-facts stay with the article.
+when the page was fetched. What is the site's own comes from two sources:
+phrase lists in three languages (menus, paths, notices, share prompts, legal
+lines), and, whatever the wording, lines before a page's first or after its
+last own line that return in at least ``min_docs`` documents and ``min_share``
+of those of the source. A line whose characters are all link characters has
+density 0 and is furniture. Child densities are summed; the subtree with the
+largest sum is the article's, and lines elsewhere must reach its density,
+bounded by that of a short sentence.
+
+The bound leaves the decision to the link evidence for nearly all lines, on
+purpose: headings, items and facts are as thin as furniture, and an unbounded
+threshold would take them (figures in the README).
 
 Defined results: null and empty texts have no lines; blank lines are never
 reported; every line is either main content or furniture.
@@ -26,10 +32,12 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.residue import template_residue
+from corpusloom.session import cut
 
 _FOLD = str.maketrans("ışçğüöâîûäéèáàêİ", "iscguoaiuaeeaaei", "̇​‌‍﻿­")
 
@@ -201,6 +209,29 @@ def mark_links(lines: list[Line | None]) -> None:
             x.link_chars, x.link_tags = x.chars, max(1, x.link_tags)
 
 
+def site_key(raw: str) -> int:
+    """Hash of a line by which a source's pages are compared."""
+    return xxhash.xxh3_64_intdigest(" ".join(raw.lower().split())) - (1 << 63)
+
+
+def mark_site_lines(raw: list[str], lines: list[Line | None], site: frozenset[int]) -> None:
+    """Count the characters of ``site`` lines outside the page's own lines as link characters."""
+    returns = [x is not None and site_key(r) in site for r, x in zip(raw, lines)]
+    own = [k for k, x in enumerate(lines) if x and not returns[k] and x.link_chars < x.chars]
+    if not own:
+        return
+    for k, x in enumerate(lines):
+        if x and returns[k] and x.chars and not own[0] < k < own[-1]:
+            # the rest of a wrapped sentence, or a closing mark of the article
+            before = lines[k - 1] if k else None
+            if x.plain[:1].islower() and before and before.link_chars < before.chars and not _SENTENCE.search(before.plain) or not x.plain[:1].isalnum() and "©" not in x.plain:
+                continue
+            # a heading that opens the article stands right above its first line
+            if k < own[0] and not any(lines[j] for j in range(k + 1, own[0])) and len(x.plain.split()) <= 3 and lines[own[0]].chars > 60:
+                continue
+            x.link_chars, x.link_tags = x.chars, max(1, x.link_tags)
+
+
 def density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: float) -> float:
     """Composite text density of a node; 0 where all characters are link characters."""
     if c <= 0 or lc >= c:
@@ -209,11 +240,13 @@ def density(c: float, t: float, lc: float, lt: float, body_c: float, body_lc: fl
     return c / max(1.0, t) * math.log(c / max(1.0, lc) * max(1.0, t) / max(1.0, lt) + 1) / max(1e-9, math.log(base + 1))
 
 
-def furniture(text: str) -> list[int]:
-    """Numbers of the non-blank lines that are not main content."""
+def furniture(text: str, site: frozenset[int] = frozenset()) -> list[int]:
+    """Numbers of the non-blank lines that are not main content; ``site`` has the keys of lines that return in the source."""
     raw = text.split("\n")
     lines = [Line(x) if x.strip() else None for x in raw]
     mark_links(lines)
+    if site:
+        mark_site_lines(raw, lines, site)
     body_c = sum(x.chars for x in lines if x)
     body_lc = sum(x.link_chars for x in lines if x)
     if body_lc == 0:
@@ -248,20 +281,56 @@ def furniture(text: str) -> list[int]:
     return out
 
 
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sources, keys = [], []
+        for source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if text:
+                own = {site_key(x) for x in text.split("\n") if x.strip()}
+                keys.extend(own)
+                sources.extend([source] * len(own))
+        yield pa.RecordBatch.from_arrays([pa.array(sources, pa.int64()), pa.array(keys, pa.int64())], names=["site", "key"])
+
+
+def site_lines(docs: DataFrame, min_docs: int = 4, min_share: float = 0.1) -> DataFrame:
+    """(site, keys): per hash of a source the keys of the lines that return in it."""
+    named = docs.where("source is not null").select(F.xxhash64("source").alias("site"), "text")
+    total = named.groupBy("site").agg(F.count("*").alias("n_site"))
+    lines = named.mapInArrow(_keys, "site long, key long").groupBy("site", "key").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    often = lines.join(F.broadcast(total), "site").where(F.col("n") >= min_share * F.col("n_site"))
+    return often.groupBy("site").agg(F.collect_list("key").alias("keys"))
+
+
+def _with_site(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of ``docs``, the hash of the source and the keys of its returning lines."""
+    site = cut(site_lines(docs), "site-lines")
+    return docs.select(*columns, F.xxhash64("source").alias("site")).join(F.broadcast(site), "site", "left").select(*columns, "site", "keys")
+
+
+def _sites(b: pa.RecordBatch, known: dict[int, frozenset[int]]) -> list[frozenset[int]]:
+    """Per row the keys in the last column, read once a site, which the column before it names."""
+    ids, keys = b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1)
+    for k, i in enumerate(ids):
+        if i not in known:
+            known[i] = frozenset(keys[k].as_py() or ())
+    return [known[i] for i in ids]
+
+
 def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, frozenset[int]] = {}
     for b in batches:
         ids, nos = [], []
-        for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for i, text, site in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _sites(b, known)):
             if text:
-                for no in furniture(text):
+                for no in furniture(text, site):
                     ids.append(i)
                     nos.append(no)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(nos, pa.int32())], names=["doc_id", "line_no"])
 
 
 def furniture_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of every non-blank line outside the main content."""
-    return docs.select("doc_id", "text").mapInArrow(_found, "doc_id long, line_no int")
+    """(doc_id, line_no) of every non-blank line outside the main content; ``docs`` needs doc_id, source, text."""
+    return _with_site(docs, "doc_id", "text").mapInArrow(_found, "doc_id long, line_no int")
 
 
 def page_furniture(docs: DataFrame) -> DataFrame:
@@ -274,13 +343,14 @@ _ARTICLE = pa.schema([("doc_id", pa.int64()), ("url", pa.string()), ("article",
 
 
 def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, frozenset[int]] = {}
     for b in batches:
         rows = []
-        for i, url, text in zip(*(c.to_pylist() for c in b.columns)):
+        for i, url, text, site in zip(*(c.to_pylist() for c in b.columns[:3]), _sites(b, known)):
             if text is None:
                 rows.append((i, url, None, 0, 0))
                 continue
-            gone, lines = set(furniture(text)) if text else set(), text.split("\n")
+            gone, lines = set(furniture(text, site)) if text else set(), text.split("\n")
             article = "\n".join(x for k, x in enumerate(lines) if k not in gone)
             rows.append((i, url, re.sub(r"\n{3,}", "\n\n", article).strip("\n"), sum(1 for x in lines if x.strip()), len(gone)))
         cols = list(zip(*rows)) if rows else [[] for _ in _ARTICLE]
@@ -289,4 +359,4 @@ def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def main_content(docs: DataFrame) -> DataFrame:
     """(doc_id, url, article, n_lines, n_furniture) for every document; null text gives a null article."""
-    return docs.select("doc_id", "url", "text").mapInArrow(_articles, "doc_id long, url string, article string, n_lines int, n_furniture int")
+    return _with_site(docs, "doc_id", "url", "text").mapInArrow(_articles, "doc_id long, url string, article string, n_lines int, n_furniture int")

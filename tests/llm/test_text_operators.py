@@ -36,6 +36,18 @@ def test_furniture():
     }
 
 
+def test_furniture_of_unknown_wording(spark):
+    rows = []
+    for k in range(6):
+        own = "".join(chr(97 + k) for _ in range(5))
+        rows.append((k, "s", f"u{k}", f"Inicio | Recetas | Museos\n\nVilla {own}\n\nOverview\nThe bridge of {own} was built by the guild of masons and rests on four arches.\nSources\nThe archive of {own} keeps the plans.\n\nTodos los derechos reservados", None))
+    df = spark.createDataFrame(rows, "doc_id long, source string, url string, text string, title string")
+    got = sorted((r.doc_id, r.line_no) for r in main_content.furniture_lines(df).collect())
+    assert got == [(k, n) for k in range(6) for n in (0, 9)]
+    assert {r.article.split("\n")[0][:5] for r in main_content.main_content(df).collect()} == {"Villa"}
+    assert main_content.furniture_lines(df.where("doc_id < 3")).count() == 0
+
+
 @pytest.mark.parametrize("text", ["", "One line about cookies of molasses and leeks.", "a < 0 and b > 0 are the cases.\n\nHeading\n- item"])
 def test_no_furniture(text):
     assert main_content.furniture(text) == []
