@@ -335,7 +335,7 @@ def furniture_lines(docs: DataFrame) -> DataFrame:
 
 def page_furniture(docs: DataFrame) -> DataFrame:
     """``furniture_lines`` without those of documents that are error, script or filler pages as a whole."""
-    whole = template_residue(docs).where("residue_kind <> 'placeholder'").select("doc_id")
+    whole = template_residue(docs, whole=True).select("doc_id")
     return furniture_lines(docs).join(whole, "doc_id", "left_anti")
 
 

@@ -1,17 +1,22 @@
 """Template residue: unfilled slots, filler, error pages and demands for scripts.
 
 Method: records of the same template are aligned to induce slots. A line's
-skeleton is the line with digits, quoted parts, proper names and the record's
-own title, entity and address slug replaced by slots; lines with equal
-skeletons come from one template. A slot that retains a variable's name, its
-default or an unset value marks a placeholder. Whole pages all of whose lines
-belong to repeated error or script templates are error or script pages: a line
-is an anchor if it states the error or the demand, and its companions (return
-links, reference numbers) are the skeletons repeated in at least
-``min_pages`` pages that hold an anchor.
-
-Only lines of pages that hold an anchor leave the first stage; companions are
-counted by skeleton hash with partial aggregation, over all documents.
+template is its label ("Label: value"), or its skeleton: the line with digits,
+quoted parts, proper names and the record's own title, entity and address slug
+replaced by slots. Where at least ``min_pages`` records fill a slot, with
+different values, and no fewer than leave it unfilled, a record whose slot
+keeps an unset value, a variable's name or nothing is a placeholder. Slots that
+show by their own syntax that they were never filled (``slots``) need no other
+record. Whole pages all of whose lines belong to repeated error or script
+templates are error or script pages: a line is an anchor if it states the error
+or the demand, by fixed phrases in three languages, and its companions (return
+links, reference numbers) are the skeletons repeated in at least ``min_pages``
+pages that hold an anchor. A repeated page is no message by its repetition
+alone: short articles of the same wording would be taken for one.
+
+Only lines of pages that hold an anchor and templates with an unfilled slot
+leave the first stage; companions and filled slots are counted by hash with
+partial aggregation, over all documents.
 
 Defined results: null and empty texts are no residue by their text (a title
 with an unfilled slot still counts); a document gets one kind, in the order
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.slots import find_slot, without_code
@@ -98,6 +103,53 @@ def skeleton(line: str, own: list[str]) -> str:
     return re.sub(r"\d+", "<n>", " ".join(line.split())).lower()
 
 
+_UNSET = re.compile(r"(?<!\w)(?:undefined|null|NaN|None|nil|\[object Object\])(?!\w)")
+_NAMED = re.compile(r"[a-z]+(?:_[a-z0-9]+)+|[a-z]+(?:[A-Z][a-z]+)+")
+_LABEL = re.compile(r"\W*([^\W\d_][^:]{0,60}?)\W*:(?!//)\W{0,3}?(?: |$)(.*)")
+_UNSET_WORDS = ("undefined", "null", "NaN", "None", "nil", "[object Object]")
+_LIST = re.compile(r"\s*(?:[-*+•»›·|]|\d{1,2}[.)])\s")
+
+
+def template(line: str, own: list[str]) -> tuple[str, str, str | None]:
+    """(template, value, what the slot keeps if it was not filled: "unset", "name" or "blank")."""
+    plain = " ".join(_TAG.sub(" ", line).split())
+    m = _LABEL.match(plain)
+    if m and len(m[1].split()) <= 5:
+        label, value = m[1].lower(), m[2].strip("*_' ")
+        kept = "blank" if not value else "unset" if _UNSET.fullmatch(value) else "name" if _NAMED.fullmatch(value) or value == label else None
+        return label + ":", value, kept
+    kept = _UNSET.search(plain)
+    key = skeleton(_UNSET.sub("0", plain) if kept else plain, own).replace("<n>", "<*>")
+    return key, plain, "unset" if kept else None
+
+
+def _short_value(line: str) -> bool:
+    """Whether a line can be a label with a name or nothing for its value."""
+    return ":" in line and len(line.partition(":")[2].split()) <= 6
+
+
+def unfilled(text: str, own: list[str]) -> set[str]:
+    """Templates of which ``text`` leaves a slot unfilled, if other records fill it."""
+    out: set[str] = set()
+    words = [w for w in _UNSET_WORDS if w in text]
+    if not words and not (":" in text and any(map(_short_value, text.split("\n")))):
+        return out
+    lines = without_code(text).split("\n")
+    for k, x in enumerate(lines):
+        if not _short_value(x) and not any(w in x for w in words):
+            continue
+        key, _, kept = template(x, own)
+        after = lines[k + 1] if k + 1 < len(lines) else ""
+        # what follows a label without a value may be its value: a list or text in the next line
+        if kept and "<*>" != key and (kept != "blank" or not after.strip() or not _LIST.match(after) and _LABEL.match(after)):
+            out.add(key)
+    return out
+
+
+def _own(*names: str | None) -> list[str]:
+    return sorted({x.strip() for x in names if x and len(x.strip()) > 2}, key=len, reverse=True)
+
+
 def _slug(url: str | None) -> str:
     return re.sub(r"[?#].*", "", url or "").rstrip("/").rsplit("/", 1)[-1].removesuffix(".html")
 
@@ -107,7 +159,7 @@ def page(text: str | None, title: str | None, entity: str | None, url: str | Non
     placeholder = has_slot(text) or has_slot(title)
     if text and len(text) <= most_chars:
         script = error = 0
-        rest, own = [], sorted({x.strip() for x in (title or "", entity or "", _slug(url)) if len(x.strip()) > 2}, key=len, reverse=True)
+        rest, own = [], _own(title, entity, _slug(url))
         for line in text.split("\n"):
             plain = " ".join(_TAG.sub(" ", line).split())
             if not plain:
@@ -134,7 +186,12 @@ def page(text: str | None, title: str | None, entity: str | None, url: str | Non
     return None, []
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("open", pa.list_(pa.int64()))])
+_OUT = pa.schema([("doc_id", pa.int64()), ("kind", pa.string()), ("open", pa.list_(pa.int64())), ("kept", pa.list_(pa.string()))])
+_VALUES = pa.schema([("line", pa.int64()), ("value", pa.int64())])
+
+
+def _hash(s: str) -> int:
+    return xxhash.xxh3_64_intdigest(s) - (1 << 63)
 
 
 def _pages(most_chars: int):
@@ -143,31 +200,92 @@ def _pages(most_chars: int):
             rows = []
             for i, text, title, entity, url in zip(*(c.to_pylist() for c in b.columns)):
                 kind, rest = page(text, title, entity, url, most_chars)
-                if kind:
-                    rows.append((i, kind, sorted({xxhash.xxh3_64_intdigest(x) - (1 << 63) for x in rest})))
+                kept = unfilled(text, _own(title, entity, _slug(url))) if text and kind in (None, "filler", "error", "script") and (rest or kind in (None, "filler")) else ()
+                if kind or kept:
+                    rows.append((i, kind, sorted({_hash(x) for x in rest}), sorted(kept)))
             cols = list(zip(*rows)) if rows else [[] for _ in _OUT]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
     return run
 
 
-def template_residue(docs: DataFrame, min_pages: int = 2, most_chars: int = 1500) -> DataFrame:
+def _ends(s: str) -> tuple[str, str]:
+    ws = s.split()
+    return (ws[0].lower(), ws[-1].lower()) if ws else ("", "")
+
+
+def _filled(heads: frozenset[str] | None, tails: frozenset[str]):
+    """(template, value) hashes of filled slots, of labels and lines with one of ``heads`` or ``tails`` as first or last word; None takes every line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple[int, int]] = []
+            for text, title, entity, url in zip(*(c.to_pylist() for c in b.columns)):
+                if not text:
+                    continue
+                own, found = _own(title, entity, _slug(url)), {}
+                for x in without_code(text).split("\n"):
+                    first, last = _ends(_TAG.sub(" ", x)) if heads is not None and ":" not in x else ("", "")
+                    if heads is None or ":" in x or first in heads or last in tails:
+                        key, value, kept = template(x, own)
+                        if not kept and value:
+                            found[_hash(key)] = _hash(value)
+                out.extend(found.items())
+            cols = list(zip(*out)) if out else [[] for _ in _VALUES]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], schema=_VALUES)
+
+    return run
+
+
+def _unfilled_slots(docs: DataFrame, first: DataFrame, min_pages: int, of: Column | None = None) -> DataFrame:
+    """doc_id of records, of those that meet ``of``, that leave a slot unfilled which other records of the template fill."""
+    spark = docs.sparkSession
+    kept = first.select("doc_id", "kind", F.explode("kept").alias("key"))
+    by_key = kept.groupBy("key").agg(F.countDistinct("doc_id").alias("n_kept"))
+    if of is not None:
+        kept = kept.where(of)
+        by_key = by_key.join(kept.select("key").distinct(), "key", "left_semi")
+    keys = cut(by_key.mapInArrow(_key_hashes, "line long, key string, n_kept long"), "residue-keys")
+    if keys.isEmpty():
+        return spark.createDataFrame([], "doc_id long")
+    # fixed words that save looking at most lines; a template that begins and ends with a slot can be any line
+    ends = [_ends(r.key) for r in keys.where(~F.col("key").endswith(":")).select("key").limit(20_001).collect()]
+    every = len(ends) > 20_000 or any("<" in a and "<" in b for a, b in ends)
+    known = None if every else frozenset(a for a, _ in ends if "<" not in a)
+    tails = frozenset(b for a, b in ends if "<" in a)
+    values = docs.select("text", "title", "entity_title", "url").mapInArrow(_filled(known, tails), "line long, value long")
+    counted = values.join(F.broadcast(keys), "line").groupBy("line", "key", "n_kept").agg(F.count("*").alias("n"), F.min("value").alias("a"), F.max("value").alias("b"))
+    slots = counted.where((F.col("n") >= min_pages) & (F.col("n") >= F.col("n_kept")) & (F.col("a") < F.col("b"))).select("key")
+    return kept.join(slots, "key").select("doc_id").distinct()
+
+
+def _key_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keys = b.column(0)
+        yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in keys.to_pylist()], pa.int64()), keys, b.column(1)], names=["line", "key", "n_kept"])
+
+
+def template_residue(docs: DataFrame, min_pages: int = 2, most_chars: int = 1500, whole: bool = False) -> DataFrame:
     """(doc_id, residue_kind), at most one row a document.
 
     ``docs`` needs doc_id, text, title, entity_title, url. ``most_chars`` bounds
-    what can be a page that is nothing but a message.
+    what can be a page that is nothing but a message. ``whole`` leaves out the
+    placeholders, and aligns slots only of pages that would be filler otherwise.
     """
-    first = cut(docs.select("doc_id", "text", "title", "entity_title", "url").mapInArrow(_pages(most_chars), "doc_id long, kind string, open array<long>"), "residue")
-    sure = first.where(F.size("open") == 0).select("doc_id", F.col("kind").alias("residue_kind"))
+    first = cut(docs.select("doc_id", "text", "title", "entity_title", "url").mapInArrow(_pages(most_chars), "doc_id long, kind string, open array<long>, kept array<string>"), "residue")
+    slots = _unfilled_slots(docs, first, min_pages, F.col("kind") == "filler" if whole else None).withColumn("unfilled", F.lit(True))
+    first = first.join(slots, "doc_id", "left")
+    done = F.when(F.col("unfilled") & F.coalesce(F.col("kind") == "filler", F.lit(True)), F.lit("placeholder")).otherwise(F.col("kind"))
+    sure = first.where(F.size("open") == 0).select("doc_id", done.alias("residue_kind"))
     waiting = first.where(F.size("open") > 0)
     lines = waiting.select("doc_id", F.explode("open").alias("line"))
     companions = lines.groupBy("line").agg(F.count("*").alias("n_pages")).where(F.col("n_pages") >= min_pages)
     met = lines.join(companions, "line").groupBy("doc_id").agg(F.count("*").alias("n_met"))
     rest = waiting.join(met, "doc_id", "left").select(
         "doc_id",
-        F.when(F.col("n_met") == F.size("open"), F.regexp_replace("kind", r"\+", "")).when(F.col("kind").endswith("+"), F.lit("placeholder")).alias("residue_kind"),
+        F.when(F.col("n_met") == F.size("open"), F.regexp_replace("kind", r"\+", "")).when(F.col("kind").endswith("+") | F.col("unfilled"), F.lit("placeholder")).alias("residue_kind"),
     )
-    return sure.union(rest.where("residue_kind is not null"))
+    return sure.union(rest).where("residue_kind <> 'placeholder'" if whole else "residue_kind is not null")
 
 
 def without_residue(docs: DataFrame, **options) -> DataFrame:

@@ -143,6 +143,23 @@ def test_residue_pages(spark):
     assert sorted(r.doc_id for r in residue.without_residue(df).collect()) == [11, 12, 15, 16]
 
 
+def test_slots_by_alignment(spark):
+    towns = ["Velka", "Morin", "Tasso", "Hurde"]
+    rows = [(k, f"Prose of {t}.\nKaynak: {t} archive\nEintritt: {k + 2} Taler\nthe gate of {t} opens at {k + 6}\nLegends:", t) for k, t in enumerate(towns)]
+    rows += [
+        (10, "Prose.\nKaynak: undefined", "Brisk"),
+        (11, "Prose.\nEintritt:\n\nMore prose.", "Brisk"),
+        (12, "the gate of Brisk opens at NaN", "Brisk"),
+        (13, "Prose.\nKaynak: opening_hours", "Brisk"),
+        (14, "Prose.\nLegends:\nThe miller said: none of it is null.", "Brisk"),
+        (15, "Kaynak:\n- a list below", "Brisk"),
+        (16, "Unseen thing: undefined", "Brisk"),
+        (17, "```\nKaynak: undefined\n```", "Brisk"),
+    ]
+    df = spark.createDataFrame([(i, t, n, n, None) for i, t, n in rows], "doc_id long, text string, title string, entity_title string, url string")
+    assert {r.doc_id: r.residue_kind for r in residue.template_residue(df).collect()} == dict.fromkeys([10, 11, 12, 13], "placeholder")
+
+
 def brute_lines(rows):
     docs, total = defaultdict(set), defaultdict(set)
     norm = lambda x: re.sub("[0-9]+", "0", " ".join(x.split()).lower())
