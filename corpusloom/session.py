@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -81,6 +82,11 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """``df`` to be broadcast if it is counted to have at most ``most`` rows, else to be joined as it comes."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def _remove_at_exit(spark: SparkSession, path: str) -> None:
     def gone() -> None:
         try:
