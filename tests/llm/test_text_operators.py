@@ -3,58 +3,83 @@
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from corpusloom.llm import main_content, markup, repeated_lines, residue, slots
 
-PAGE = """Home | Recipes | Contact
-We use cookies to count visits. Accept all.
-
-# Old bridge
-By the Atlas editorial desk
+ARTICLE = """Old bridge
 
 The bridge was built in 1612 by the guild of masons and rests on four arches of pale stone.
+It carries the road from the market to the mills, and was widened twice after the floods.
 
-History
 - three arches
-- one toll house
+- one toll house with a slate roof
 
-You may also like
-Harbour museum
-Fish soup
+Visitors walk across it in spring, when the river is high and the mills are busy all day.
+The toll was given up in 1874, and the keeper's house became a school for the valley."""
+TOP = "Departments\nOur story\nJournal\n\n"
+BOTTOM = "\n\nGo to our newsroom\n\nAll texts belong to Example Ltd."
 
-See also: Harbour
-Visitors walk across it in spring, when the river is high and the mills are busy.
 
-© 2020 Atlas. All rights reserved."""
+def page(text, *titles, source="www.atlas.example", model=None, again=()):
+    """Numbers of the furniture lines of one page."""
+    lines = main_content.Lines(main_content._Cells())
+    lines.add(text, source, titles)
+    b = main_content.Batch(np.array(lines.n), *(np.array(x) for x in (lines.no, lines.chars, lines.tags, lines.flags)), np.isin(lines.no, list(again)), np.array(lines.n_pairs), lines.pairs())
+    return b.no[main_content.is_furniture(b, model or main_content.Evidence(), 0.35)].tolist()
 
 
-def test_furniture():
-    lines = PAGE.split("\n")
-    assert {lines[k] for k in main_content.furniture(PAGE)} == {
-        "Home | Recipes | Contact", "We use cookies to count visits. Accept all.", "By the Atlas editorial desk", "You may also like", "Harbour museum", "Fish soup", "See also: Harbour", "© 2020 Atlas. All rights reserved.",
-    }
+def test_density_alone_finds_furniture_of_unseen_wording():
+    text = TOP + ARTICLE + BOTTOM
+    lines = text.split("\n")
+    assert [lines[k] for k in page(text, "Old bridge")] == ["Departments", "Our story", "Journal", "Go to our newsroom", "All texts belong to Example Ltd."]
 
 
-def test_furniture_of_unknown_wording(spark):
-    rows = []
-    for k in range(6):
-        own = "".join(chr(97 + k) for _ in range(5))
-        rows.append((k, "s", f"u{k}", f"Inicio | Recetas | Museos\n\nVilla {own}\n\nOverview\nThe bridge of {own} was built by the guild of masons and rests on four arches.\nSources\nThe archive of {own} keeps the plans.\n\nTodos los derechos reservados", None))
-    df = spark.createDataFrame(rows, "doc_id long, source string, url string, text string, title string")
-    got = sorted((r.doc_id, r.line_no) for r in main_content.furniture_lines(df).collect())
-    assert got == [(k, n) for k in range(6) for n in (0, 9)]
-    assert {r.article.split("\n")[0][:5] for r in main_content.main_content(df).collect()} == {"Villa"}
-    assert main_content.furniture_lines(df.where("doc_id < 3")).count() == 0
+def test_without_density_rows_change(monkeypatch):
+    text = TOP + ARTICLE + BOTTOM
+    monkeypatch.setattr(main_content, "density", lambda c, *rest: np.zeros(len(c)))
+    assert page(text, "Old bridge") != [0, 1, 2, 15, 17]
+
+
+def test_long_lines_and_long_lists_are_judged():
+    notice = "Atlas keeps small files so that the pages which you have seen are known when you come again. " * 8
+    text = f"{notice}\n\n{ARTICLE}\n\n" + "\n".join(f"Page {'abcdefghijklmnopqrst'[k]}" for k in range(20))
+    n = len(text.split("\n"))
+    assert page(text, "Old bridge", again=[0]) == [0, *range(n - 20, n)]
+
 
+def test_anchors_and_navigation_elements():
+    text = f'[Home](/home) [Map](/map)\n<nav>Our places</nav>\n<a href="/x">Go on</a>\n{ARTICLE}'
+    assert page(text, "Old bridge") == [0, 1, 2]
 
-@pytest.mark.parametrize("text", ["", "One line about cookies of molasses and leeks.", "a < 0 and b > 0 are the cases.\n\nHeading\n- item"])
+
+@pytest.mark.parametrize("text", ["One line about cookies of molasses and leeks.", "a < 0 and b > 0 are the cases of this page, which has no more than one long line of text."])
 def test_no_furniture(text):
-    assert main_content.furniture(text) == []
+    assert page(text) == []
+
+
+def test_evidence_is_learnt_from_the_corpus(spark):
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + x) for x in rng.integers(0, 26, 5)) for _ in range(300)]
+    prose = lambda: (" ".join(rng.choice(words, 16)) + ".").capitalize()
+    rights = "Todos los derechos de {} quedan reservados para siempre y en todas partes, desde {}"
+    rows = []
+    for k in range(24):
+        host = f"site{'uvwx'[k % 4]}"
+        rows.append((k, f"www.{host}.example", f"u{k}", "\n\n".join(["Zur Kasse", *(prose() for _ in range(4)), rights.format(host, 2000 + k)]), None, None))
+    # the same wording inside the text, where the place of the line says nothing
+    rows.append((99, "www.sitex.example", "u", "\n\n".join([prose(), prose(), rights.format("sitex", 1990), prose(), prose()]), None, None))
+    df = spark.createDataFrame(rows, "doc_id long, source string, url string, text string, title string, entity_title string")
+    got = sorted((r.doc_id, r.line_no) for r in main_content.furniture_lines(df).collect())
+    assert got == [*[(k, n) for k in range(24) for n in (0, 10)], (99, 4)]
+    articles = {r.doc_id: r.article for r in main_content.main_content(df).collect()}
+    assert articles[0] == "\n\n".join(rows[0][3].split("\n\n")[1:-1]) and len(articles) == 25
 
 
 def test_density_is_zero_for_links_only():
-    assert main_content.density(10, 1, 10, 1, 100, 10) == 0 and main_content.density(100, 1, 0, 0, 100, 10) > main_content.density(100, 5, 0, 4, 100, 10)
+    d = lambda *x: float(main_content.density(*(np.array([float(v)]) for v in x))[0])
+    assert d(10, 1, 10, 1, 100, 10) == 0 and d(100, 1, 0, 0, 100, 10) > d(100, 5, 0, 4, 100, 10)
 
 
 @pytest.mark.parametrize(
