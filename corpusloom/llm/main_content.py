@@ -277,18 +277,21 @@ class Evidence:
     def __init__(self, link: np.ndarray | None = None, other: np.ndarray | None = None) -> None:
         self.link = np.zeros(CELLS, np.float32) if link is None else link.astype(np.float32)
         self.other = np.zeros(CELLS, np.float32) if other is None else other.astype(np.float32)
+        # a pair counts as much as its share of all pairs, so that rare names say as little in a large corpus as in a small one
+        self.least = max(1.0, _LEAST_SHARE * float(self.link.sum(dtype=np.float64) + self.other.sum(dtype=np.float64)))
 
     def lines(self, b: Batch, out: np.ndarray) -> np.ndarray:
         """Log odds of each line being link text; what the density says of it is the prior of its pairs."""
         if not len(b.n_pairs):
             return np.zeros(0)
         prior = np.repeat(np.where(out, 0.5 + _PRIOR, 0.5 - _PRIOR), b.n_pairs)
-        odds = np.log((self.link[b.pairs] + prior) / (self.other[b.pairs] + 1 - prior))
+        odds = np.log((self.link[b.pairs] + self.least * prior) / (self.other[b.pairs] + self.least * (1 - prior)))
         starts = np.concatenate([[0], np.cumsum(b.n_pairs)[:-1]])
         return np.add.reduceat(odds, starts) / np.sqrt(b.n_pairs)
 
 
 _PRIOR = 0.2
+_LEAST_SHARE = 1e-5
 
 
 def link_shares(b: Batch, model: Evidence | None) -> np.ndarray:
