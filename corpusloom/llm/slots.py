@@ -54,6 +54,11 @@ def find_slot(text: str) -> str | None:
     return None
 
 
+def find_slots(text: str) -> list[str]:
+    """The first match of each syntax that ``text`` holds."""
+    return [m[0] for pattern in _possible(text) if (m := pattern.search(text))]
+
+
 def without_slots(text: str) -> str:
     for pattern in _possible(text):
         text = pattern.sub(" ", text)

@@ -135,12 +135,13 @@ def test_content_regions():
 
 @pytest.mark.parametrize("text", ["{{title}}", "a ${name} b", "%%CITY%%", "%(price)s", "<%= entity.title %>", "{% block x %}", "__PRICE__", "#CAPTION#", "@Model.city", "[INSERT TITLE HERE]", "<your price here>", "«first_name»", "TBD: title", "{0} city {1}", "Untitled {n}", "city: undefined", "title: [object Object]"])
 def test_slots(text):
-    assert residue.has_slot(text) and residue.has_slot(f"Before {text} after") and not residue.has_slot(f"```\n{text}\n```")
+    found = lambda x: bool(residue.slots_of(x, []))
+    assert found(text) and found(f"Before {text} after") and not found(f"```\n{text}\n```")
 
 
 @pytest.mark.parametrize("text", ["the month{{dn}} of May", "{{citation needed|date=May}}", "null and void", "in the year # 7", "`{{x}}`", "50% OFF", "a_b_c"])
 def test_no_slots(text):
-    assert not residue.has_slot(text) and slots.find_slot(slots.without_code(text)) is None
+    assert not residue.slots_of(text, []) and slots.find_slot(slots.without_code(text)) is None
 
 
 def test_filler():
@@ -149,23 +150,55 @@ def test_filler():
     assert residue.is_filler("xxxxxxxxxx asdf qwer zxcv blah blah Bikje")
     assert not residue.is_filler("The printer set Lorem ipsum in the margin of the page and was paid for it by the guild.")
     assert not residue.is_filler("They walked on and on and on to the market of the old town.")
+    assert residue.is_filler("Lorem ipsum dolor amet lorem ipsum amet dolor sit lorem. " * 200)
+    assert residue.is_filler("This is where the text of the article will stand as soon as somebody has found the time to write all of it down. " * 9)
+
+
+RESIDUE = "doc_id long, text string, title string, entity_title string, url string"
 
 
 def test_residue_pages(spark):
-    rows = [(k, f"404 - Page not found\n\nTry again", "t", "e", "http://h/p") for k in range(3)]
+    at = lambda k: f"http://h/{'abcdefghijklmnop'[k]}"
+    rows = [(k, f"404 - Page not found\n\nTry again" + ("\nReference 7" if k else ""), "t", None, at(k)) for k in range(3)]
+    # wording that is known to nobody, with the page's own name in it, and more than a dozen lines
+    gone = "\n".join(f"We looked {x}" for x in ("high", "low", "left", "right", "up", "down", "here", "there", "in", "out", "near", "far", "everywhere"))
+    rows += [(20 + k, f"{gone}\nbut {n} is gone for good, so please go home and try another one. " + "Go home. " * 200, n, n, at(k)) for k, n in enumerate(("Mill", "Tower", "Gate"))]
+    rows += [(30 + k, f"Sie brauchen dafür erst den Schalter.{x}", n, n, at(k + 3)) for k, (n, x) in enumerate((("Hill", "\nJavaScript fehlt."), ("Pond", "\nJavaScript fehlt."), ("Ford", "")))]
     rows += [
-        (10, "Please enable JavaScript to continue to Mill.", "Mill", "Mill", None),
         (11, "The archive's viewer needs JavaScript, but the guild printed 12 plates.", "t", "e", None),
-        (12, "Sorry, we could not find the page you were looking for.\nA sentence that belongs to no message at all and stands alone.", "t", "e", None),
+        (12, "404 - Page not found\nA sentence that belongs to no message at all and stands alone.", "t", "e", None),
         (13, "Prose.", "{{title}}", "e", None),
         (14, "Lorem ipsum amet ipsum lorem dolor amet.", "t", "e", None),
         (15, "Prose only.", None, None, None),
-        (16, " ".join(f"An error was found in ledger {k}. It was {400 + k} pages long and is not found in the archive." for k in range(30)), "t", "e", None),
+        # copies of an article under one address are no message
+        *((40 + k, "The mill was sold in 1712 and burnt down the year after.", "Mill", "x", "http://h/mill") for k in range(4)),
     ]
-    df = spark.createDataFrame(rows, "doc_id long, text string, title string, entity_title string, url string")
+    df = spark.createDataFrame(rows, RESIDUE)
     got = {r.doc_id: r.residue_kind for r in residue.template_residue(df).collect()}
-    assert got == {0: "error", 1: "error", 2: "error", 10: "script", 13: "placeholder", 14: "filler"}
-    assert sorted(r.doc_id for r in residue.without_residue(df).collect()) == [11, 12, 15, 16]
+    assert got == {0: "error", 1: "error", 2: "error", 20: "error", 21: "error", 22: "error", 30: "script", 31: "script", 32: "script", 13: "placeholder", 14: "filler"}
+    assert sorted(r.doc_id for r in residue.without_residue(df).collect()) == [11, 12, 15, 40, 41, 42, 43]
+    assert {r.doc_id for r in residue.template_residue(df, whole=True).collect()} == set(got) - {13}
+
+
+def test_slots_of_unseen_syntax(spark):
+    rows = [(k, f"Dear {n}, your order {17 * k} ships on {d}.", n, n, None) for k, (n, d) in enumerate((("Anna", "Monday"), ("Berk", "Friday"), ("Cem", "Sunday")))]
+    rows += [
+        (10, "Dear CUSTOMERNAME, your order ORDERNO ships on SHIPDATE.", "Order", None, None),
+        # emphasis: others write the same word small
+        (11, "The HERALD was printed here in town.", "x", None, None),
+        *((12 + k, f"The {w} was printed here in town.", "y", None, None) for k, w in enumerate(("Herald", "Mirror", "Courier"))),
+        # a name that no other record fills
+        (20, "They read aloud about UNESCO in the hall.", "z", None, None),
+    ]
+    rows = [(i, f"Prose of {'abcdefghijklmnopqrstuvwxyz'[i]} alone.\n{x}", *rest) for i, x, *rest in rows]
+    assert {r.doc_id: r.residue_kind for r in residue.template_residue(spark.createDataFrame(rows, RESIDUE)).collect()} == {10: "placeholder"}
+
+
+def test_shown_slots_need_alignment(spark):
+    rows = [(1, "See the entry of {{price}} and the notes.", "a", None, None), (2, "See the entry of __CITY__ and the notes.", "b", None, None), (3, "A bare brace {{price}} in one text.", "c", None, None)]
+    df = spark.createDataFrame(rows, RESIDUE)
+    assert {r.doc_id for r in residue.template_residue(df).collect()} == {1, 2}
+    assert {r.doc_id for r in residue.template_residue(df.where("doc_id = 3")).collect()} == set()
 
 
 def test_slots_by_alignment(spark):
