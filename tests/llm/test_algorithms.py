@@ -137,16 +137,50 @@ def test_token_round_trip():
 def test_best_fit_respects_every_capacity(rule):
     rng = random.Random(3)
     sizes = sorted((rng.randrange(1, 900) for _ in range(3000)), reverse=True)
-    fit = packing.BestFit(1000, 6, 700_000.0, 8, rule, (1.0, 0.001, 0.05))
+    fit = packing.BestFit(1000, 6, 700_000.0, rule, (1.0, 0.1, 0.5))
     bins = {}
     for n in sizes:
         bins.setdefault(fit.put(n), []).append(n)
     assert sum(map(len, bins.values())) == 3000
     assert all(sum(b) <= 1000 and len(b) <= 6 and (sum(n * n for n in b) <= 700_000 or len(b) == 1) for b in bins.values())
-    free = packing.BestFit(1000, 10_000, 1e9, 8, rule, (1.0, 0.001, 0.05))
+    free = packing.BestFit(1000, 10_000, 1e9, rule, (1.0, 0.1, 0.5))
     assert len({free.put(n) for n in sizes}) <= 1.03 * sum(sizes) / 1000 + 1
 
 
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_best_fit_is_the_best_of_all(rule):
+    rng = random.Random(8)
+    sizes = sorted((rng.randrange(1, 1000) for _ in range(1500)), reverse=True)
+    fit, left, where = packing.BestFit(1000, 6, 500_000.0, rule, (1.0, 0.1, 0.5)), [], []
+    for n in sizes:
+        able = [c for c, (t, d, a) in enumerate(left) if t >= n and d >= 1 and a >= n * n]
+        best = min((fit.score(n, left[c][1], left[c][0], left[c][2]) for c in able), default=None)
+        c = fit.put(n)
+        assert (c == len(left)) == (not able)
+        if able:
+            assert abs(fit.score(n, left[c][1], left[c][0], left[c][2]) - best) < 1e-12
+        else:
+            left.append([1000, 6, 500_000.0])
+        left[c][0] -= n
+        left[c][1] -= 1
+        left[c][2] -= n * n
+        where.append(c)
+    alone = {c for n, c in zip(sizes, where) if n * n > 500_000}
+    assert all(where.count(c) == 1 for c in alone)
+    bound = packing.lower_bound({n: sizes.count(n) for n in set(sizes)}, 1000, 6, 500_000.0)
+    assert bound <= len(left) <= 1.04 * bound
+
+
+def test_constraints_bind():
+    rng = random.Random(9)
+    sizes = sorted((rng.randrange(1, 700) for _ in range(3000)), reverse=True)
+    used = {}
+    for documents, cost in ((10_000, 1e9), (10_000, 350_000.0), (2, 1e9)):
+        fit = packing.BestFit(1000, documents, cost, "norm", (1.0, 0.1, 0.5))
+        used[documents, cost] = len({fit.put(n) for n in sizes})
+    assert used[10_000, 350_000.0] > 1.02 * used[10_000, 1e9] and used[2, 1e9] > used[10_000, 1e9]
+
+
 def test_packing_keeps_every_token(spark):
     rng = random.Random(4)
     rows = [(k, " ".join(["word"] * rng.randrange(1, 300)), rng.choice(["en", "EN", "en-XX", "tr", None])) for k in range(200)]
@@ -162,6 +196,8 @@ def test_packing_keeps_every_token(spark):
     assert set(got[got.pack_id == 2].doc_id) == {k for k, _, lang in rows if lang and lang.lower().startswith("en")}
     report = {r.pack_id: r.fill for r in packing.fill_report(packing.pack_documents(docs, specs), specs).collect()}
     assert report[1] > 0.93
+    for r in packing.fill_report(packing.pack_documents(docs, specs), specs).collect():
+        assert r.n_over == 0 and r.least_containers <= r.n_containers <= 1.02 * r.least_containers + 1
 
 
 def test_plan_mixes():

@@ -214,7 +214,8 @@ def test_slots_by_alignment(spark):
         (16, "Unseen thing: undefined", "Brisk"),
         (17, "```\nKaynak: undefined\n```", "Brisk"),
     ]
-    df = spark.createDataFrame([(i, t, n, n, None) for i, t, n in rows], "doc_id long, text string, title string, entity_title string, url string")
+    own = "".join
+    df = spark.createDataFrame([(i, f"{t}\n\nThe {own(chr(97 + (i * k) % 26) for k in range(1, 9))} is told of here alone.", n, n, None) for i, t, n in rows], RESIDUE)
     assert {r.doc_id: r.residue_kind for r in residue.template_residue(df).collect()} == dict.fromkeys([10, 11, 12, 13], "placeholder")
 
 
