@@ -128,6 +128,28 @@ def test_clean_keeps_structure():
     assert markup.clean("plain, as it is") == "plain, as it is"
 
 
+@pytest.mark.parametrize("text, kind", [("a [[" + "link " * 80 + "]] b", "wiki"), ("$$" + "a+b+" * 300 + "c$$", "latex"), ("so **" + "bold words " * 60 + "end** here", "markdown"), ("[" + "label " * 90 + "](http://x/" + "y" * 600 + ")", "markdown"), ("{{cite " + "x=y|" * 400 + "}}", "wiki"), ("''" + "quoted words " * 60 + "end''", "wiki"), ("\\(" + "a+b+" * 300 + "c\\)", "latex")])
+def test_spans_of_any_length(text, kind):
+    assert markup.kinds(text) == [kind]
+
+
+def test_hidden_text_that_never_ends():
+    assert "the text goes on" in markup.clean("before <script>the text goes on and <b>on</b>")
+    assert "after" in markup.clean("a <script/> after <b>it</b>") and "x=1" not in markup.clean("a <script>x=1</script> b")
+
+
+def test_clean_text_leaves_out_mark_lines_outside_the_content(monkeypatch):
+    prose = "A long line of prose that goes on for a while and says something about the mills."
+    page = "\n".join([*(f"- [Page {k}](/p/{k})" for k in range(6)), "# Mills", prose, f"{prose} [Mill](/m)", "- rye", prose])
+    assert markup.clean(page) == "\n".join(["# Mills", prose, f"{prose} Mill", "- rye", prose])
+    # without the smoothing a link within the text goes, or those around it stay
+    monkeypatch.setattr(markup, "_smooth", lambda ratio, sigma: ratio)
+    mixed = "\n".join([prose, "See [Mill](/m)", prose, prose])
+    alone = markup.clean(mixed)
+    monkeypatch.undo()
+    assert alone != markup.clean(mixed) == mixed.replace("[Mill](/m)", "Mill")
+
+
 def test_content_regions():
     page = "\n".join(["<a>x</a><a>y</a>"] * 4 + ["A long line of prose that goes on for a while and says something."] * 4 + ["<a>x</a>"] * 4)
     assert markup.content_regions(page, sigma=0.5)[4:8] == [True] * 4 and not any(markup.content_regions(page, sigma=0.5)[:3])
