@@ -48,8 +48,8 @@ from corpusloom.llm.slots import find_slots, without_code
 from corpusloom.session import cut, small
 
 # The web's own terms for what a page may demand, and its status codes.
-_SCRIPT = re.compile(r"java ?script|\bscripts?\b|\bcookies?\b|captcha", re.I)
-_STATUS = re.compile(r"\b[45]\d\d\b")
+_SCRIPT = ("javascript", "script", "cookie", "captcha")
+_STATUS = re.compile(r"(?<!\d)[45]\d\d(?!\d)")
 _TAG = re.compile(r"<[^<>\n]+>|^#{1,6}\s+|^=+\s*|\s*=+$|[*_]{2,}")
 _QUOTED = re.compile(r"[\"“„«'][^\"”“„»'\n]+[\"”“»']")
 _NAME = re.compile(r"\b[A-ZÇĞİÖŞÜÄ]\w*(?:[ /][A-ZÇĞİÖŞÜÄ]\w*)*")
@@ -113,6 +113,9 @@ def template(line: str, own: list[str]) -> tuple[str, str, str | None]:
     return skeleton(_NAME_IN.sub("0", _UNSET.sub("0", plain)) if kept else plain, own), plain, kept
 
 
+_MAYBE_NAME = re.compile(r"[A-ZÇĞİÖŞÜÄ]{4}|[a-z]{2}[A-Z]")
+
+
 def _names(plain: str) -> bool:
     """Whether a line of prose, most of it in small letters, holds a variable's name."""
     return _NAME_IN.search(plain) is not None and 2 * sum(x[:1].islower() for x in plain.split()) > plain.count(" ")
@@ -127,17 +130,17 @@ def unfilled(text: str, own: list[str]) -> dict[str, int]:
     """Templates of which ``text`` leaves a slot unfilled, if other records fill it, and the hash of the line in small letters."""
     out: dict[str, int] = {}
     words = [w for w in _UNSET_WORDS if w in text]
-    names = _NAME_IN.search(text) is not None
+    names = ("_" in text or _MAYBE_NAME.search(text) is not None) and _NAME_IN.search(text) is not None
     if not words and not names and not (":" in text and any(map(_short_value, text.split("\n")))):
         return out
     lines = without_code(text).split("\n")
     for k, x in enumerate(lines):
-        if not _short_value(x) and not any(w in x for w in words) and not (names and _NAME_IN.search(x)):
+        if not _short_value(x) and not any(w in x for w in words) and not (names and ("_" in x or _MAYBE_NAME.search(x)) and _NAME_IN.search(x)):
             continue
         key, value, kept = template(x, own)
         after = lines[k + 1] if k + 1 < len(lines) else ""
         # what follows a label without a value may be its value: a list or text in the next line
-        if kept and "<*>" != key and (kept != "blank" or not after.strip() or not _LIST.match(after) and _LABEL.match(after)):
+        if kept and anchor(key) and (kept != "blank" or not after.strip() or not _LIST.match(after) and _LABEL.match(after)):
             out[key] = _hash(_low(value))
     return out
 
@@ -178,12 +181,6 @@ def page_lines(text: str, names: list[str]) -> list[str]:
     for x in names:
         if x in low:
             low = low.replace(x, "\x01")
-    plain = low.translate(_PLAIN) if "\x01" not in low and len(low) < 4096 else low
-    if plain is not low:
-        for x in names:
-            if x in plain:
-                plain = plain.replace(x, "\x01")
-        low = plain if "\x01" in plain else low
     low = re.sub(r"\d+", "0", low)
     out = []
     for line in low.split("\n"):
@@ -224,9 +221,9 @@ def _mask(x: str, names: list[str]) -> str:
     return re.sub(r"\d+", "0", re.sub(r"\b[^\W\d_]+(?=\.?$)", "\x01", low) if low[-1:] == "." else low)
 
 
-def _vote(line: str) -> int:
-    """Whether a line names scripts (1), a status code (-1) or neither."""
-    return 1 if _SCRIPT.search(line) else -1 if _STATUS.search(line) else 0
+def _vote(low: str) -> int:
+    """Whether a text in small letters names scripts (1), a status code (-1) or neither."""
+    return 1 if any(x in low for x in _SCRIPT) else -1 if _STATUS.search(low) else 0
 
 
 _OUT = pa.schema(
@@ -260,8 +257,7 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if len(x) > best:
                         best, longest = len(x), h
                 lines = list(found)
-                if _SCRIPT.search(text) or _STATUS.search(text):
-                    votes = [sum(map(_vote, raw))]
+                votes = [_vote(text.lower())]
                 filler = any(map(is_filler, raw))
                 kept = unfilled(text, _own(title, entity, _slug(url)))
                 slots += slots_of(text, names)
@@ -271,24 +267,23 @@ def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
 
-def _ends(s: str) -> tuple[str, str]:
-    ws = s.split()
-    return (ws[0].lower(), ws[-1].lower()) if ws else ("", "")
+def anchor(key: str) -> str:
+    """The longest fixed word of a template, which every line of it holds; empty if it has none."""
+    return max(_WORDS.findall(key), key=lambda w: (len(w), w), default="")
 
 
-def _filled(heads: frozenset[str] | None, tails: frozenset[str]):
-    """(template, value) hashes of filled slots, of labels and lines with one of ``heads`` or ``tails`` as first or last word; None takes every line."""
+def _filled(anchors: frozenset[str] | None):
+    """(template, value) hashes of filled slots in lines that hold one of ``anchors``; None takes every line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple[int, int]] = []
             for text, title, entity, url in zip(*(c.to_pylist() for c in b.columns)):
-                if not text:
+                if not text or anchors is not None and anchors.isdisjoint(_WORDS.findall(text.lower())):
                     continue
                 own, found = _own(title, entity, _slug(url)), {}
                 for x in without_code(text).split("\n"):
-                    first, last = _ends(_TAG.sub(" ", x)) if heads is not None and ":" not in x else ("", "")
-                    if heads is None or ":" in x or first in heads or last in tails:
+                    if anchors is None or not anchors.isdisjoint(_WORDS.findall(x.lower())):
                         key, value, kept = template(x, own)
                         if not kept and value:
                             found[_hash(key)] = _hash(_low(value))
@@ -302,17 +297,11 @@ def _filled(heads: frozenset[str] | None, tails: frozenset[str]):
 def _unfilled_slots(docs: DataFrame, kept: DataFrame, min_pages: int) -> DataFrame:
     """doc_id of ``kept`` (doc_id, key, low, n_kept) records that leave a slot unfilled which other records of the template fill."""
     spark = docs.sparkSession
-    keys = cut(kept.groupBy("key").agg(F.max("n_kept").alias("n_kept")).mapInArrow(_key_hashes, "line long, key string, n_kept long"), "residue-keys")
+    keys = cut(kept.groupBy("key").agg(F.max("n_kept").alias("n_kept")).mapInArrow(_key_hashes, "line long, key string, n_kept long, anchor string"), "residue-keys")
     if keys.isEmpty():
         return spark.createDataFrame([], "doc_id long")
-    # fixed words that save looking at most lines; a template that begins and ends with a slot can be any line
-    heads = keys.where(~F.col("key").endswith(":")).select(F.substring_index("key", " ", 1).alias("a"), F.substring_index("key", " ", -1).alias("b"))
-    words = heads.select(F.when(~F.col("a").contains("<"), F.col("a")).alias("head"), F.when(F.col("a").contains("<") & ~F.col("b").contains("<"), F.col("b")).alias("tail"), (F.col("a").contains("<") & F.col("b").contains("<")).alias("any")).distinct()
-    ends = words.limit(_MOST_WORDS + 1).collect()
-    every = len(ends) > _MOST_WORDS or any(r["any"] for r in ends)
-    known = None if every else frozenset(r["head"] for r in ends if r["head"])
-    tails = frozenset(r["tail"] for r in ends if r["tail"])
-    values = docs.select("text", "title", "entity_title", "url").mapInArrow(_filled(known, tails), "line long, value long")
+    words = [r.anchor for r in keys.select("anchor").distinct().limit(_MOST_WORDS + 1).collect()]
+    values = docs.select("text", "title", "entity_title", "url").mapInArrow(_filled(frozenset(words) if len(words) <= _MOST_WORDS else None), "line long, value long")
     filled = values.join(small(keys, 1_000_000), "line").groupBy("line", "key", "n_kept", "value").agg(F.count("*").alias("n"))
     filled = cut(filled, "residue-filled")
     counted = filled.groupBy("line", "key", "n_kept").agg(F.sum("n").alias("n"), F.min("value").alias("a"), F.max("value").alias("b"))
@@ -322,13 +311,13 @@ def _unfilled_slots(docs: DataFrame, kept: DataFrame, min_pages: int) -> DataFra
     return kept.join(slots, "key", "left_semi").join(same, ["key", "low"], "left_anti").select("doc_id").distinct()
 
 
-_MOST_WORDS = 20_000  # beyond it every line is looked at, with the same result
+_MOST_WORDS = 200_000  # beyond it every line is looked at, with the same result
 
 
 def _key_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keys = b.column(0)
-        yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in keys.to_pylist()], pa.int64()), keys, b.column(1)], names=["line", "key", "n_kept"])
+        yield pa.RecordBatch.from_arrays([pa.array([_hash(x) for x in keys.to_pylist()], pa.int64()), keys, b.column(1), pa.array([anchor(x) for x in keys.to_pylist()], pa.string())], names=["line", "key", "n_kept", "anchor"])
 
 
 def message_pages(first: DataFrame, min_pages: int = 2, min_share: float = 3e-5) -> DataFrame:
