@@ -181,6 +181,9 @@ def _abbreviations(entry: str) -> Iterator[str]:
                     yield "".join([short[-1], *short[:-1]])
 
 
+_CLEARLY = 0.06  # how much farther every other entry must be for a far one to count
+
+
 class Matcher:
     """Trees over one reference list: (id, name, other names)."""
 
@@ -210,12 +213,21 @@ class Matcher:
         """
         best: dict[int, float] = {}
         dotted = re.search(r"\w\.\W*\w", value) is not None
+        searches = []
         for k, key in enumerate(forms(value)):
-            trees = [self.tree, self.short] if dotted else [self.tree]
-            for t, tree in enumerate(trees):
-                most = self.limit(len(key)) if t == 0 else min(3, self.limit(len(key)))
-                for d, w, refs in tree.within(key, most):
-                    cost = d / max(len(key), len(w)) + 0.01 * (k > 0) + 0.02 * t
+            most = self.limit(len(key))
+            searches.append((key, self.tree, most, 0.01 * (k > 0)))
+            if dotted:
+                searches.append((key, self.short, min(3, most), 0.01 * (k > 0) + 0.02))
+        # a small radius first; what it finds bounds how far an entry can be and still matter
+        for share in (0.34, 1.0):
+            for key, tree, most, extra in searches:
+                radius = most if share == 1.0 else int(most * share)
+                if best:
+                    c = min(best.values()) + _CLEARLY - extra
+                    radius = min(most, int(c * len(key) / (1 - c) + 1e-9)) if 0 <= c < 1 else most if c >= 1 else -1
+                for d, w, refs in tree.within(key, radius) if radius >= 0 else ():
+                    cost = d / max(len(key), len(w)) + extra
                     for r in refs:
                         if cost < best.get(r, 9):
                             best[r] = cost
@@ -224,7 +236,7 @@ class Matcher:
         order = sorted((c, r) for r, c in best.items())
         least, ref = order[0]
         second = order[1][0] if len(order) > 1 else 1.0
-        if second - least < 1e-9 or (least > 0.28 and second - least < 0.06):
+        if second - least < 1e-9 or (least > 0.28 and second - least < _CLEARLY):
             return -1
         return ref
 
@@ -266,10 +278,9 @@ def map_values(occurrences: DataFrame, lists: dict[str, DataFrame], most_entries
 def decision_values(decisions: DataFrame) -> DataFrame:
     """(decision_id, field_kind, item_pos, value) of the freely typed names of every decision, once each."""
 
-    def part(kind: str, value: Column) -> DataFrame:
-        return decisions.select("decision_id", F.lit(kind).alias("field_kind"), F.lit(0).alias("item_pos"), value.alias("value"))
+    def named(kind: str, pos: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("field_kind"), pos.cast("int").alias("item_pos"), value.alias("value"))
 
-    items = decisions.select("decision_id", F.posexplode("information_to_collect").alias("item_pos", "item")).select(
-        "decision_id", F.lit("information").alias("field_kind"), "item_pos", F.col("item.name").alias("value")
-    )
-    return part("type", F.col("entity_type.name")).union(part("subtype", F.col("entity_type.subtype"))).union(items).where("value is not null").distinct()
+    own = F.array(named("type", F.lit(0), F.col("entity_type.name")), named("subtype", F.lit(0), F.col("entity_type.subtype")))
+    items = F.transform(F.coalesce("information_to_collect", F.array().cast("array<struct<name:string,priority:int>>")), lambda x, i: named("information", i, x["name"]))
+    return decisions.select("decision_id", F.inline(F.concat(own, items))).where("value is not null").distinct()
