@@ -38,9 +38,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from corpusloom.session import bounded_rows
 
 CATEGORIES = ("abusive", "hateful", "sexual")
+LACKING = 1500  # most windows that are added to the ordinary dictionary because the others take them for toxic
 
 _INVISIBLE = dict.fromkeys([0xAD, 0x34F, 0x61C, 0x115F, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF, *range(0xFE00, 0xFE10), *range(0x300, 0x370)])
 # Letters of other scripts that look like Latin ones.
@@ -62,8 +64,18 @@ _COMMON = [("i̇", "i"), ("ı", "i"), ("ş", "s"), ("ç", "c"), ("ğ", "g"), ("
 _MARKED = re.compile(r"[<\[\]{}`*_~]|''")
 _TAGS = re.compile(r"<[^<>\n]{1,200}>|\]\([^)\n]*\)|[\[\]{}`~^]|\*\*|__|''+")
 _NUMBERS = re.compile(r"\d+(?:[.,]\d+)*")
-# Encoded data and addresses, which are no language.
+# Long runs: encoded data and addresses are no language, words joined by signs are.
 _BLOB = re.compile(r"\S{50,}")
+_JOIN = re.compile(r"[\W_]+")
+
+
+def _words_of(m: re.Match) -> str:
+    run = m[0]
+    if "://" in run or "www." in run or 8 * sum(c.isdigit() for c in run) > len(run) or _JOIN.search(run) is None and run != run.lower() and run != run.upper():
+        return " "
+    return _JOIN.sub(" ", run)
+
+
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”»)]*[ \t]+")
 # A line end that only wraps a sentence: the next line goes on in lower case or with a number.
 _WRAP = re.compile(r"([^\s.!?:;|>])[ \t]*\r?\n(?=[a-zçğıöşüâîûäß0-9])")
@@ -83,7 +95,7 @@ def _unleet(m: re.Match) -> str:
 def plain(text: str) -> str:
     """Lower case, folded, without markup and disguises."""
     s = _TAGS.sub("", text) if _MARKED.search(text) else text
-    s = _BLOB.sub(" ", s).lower()
+    s = _BLOB.sub(_words_of, s).lower()
     if not s.isascii():
         for a, b in _COMMON:
             s = s.replace(a, b)
@@ -99,10 +111,16 @@ def plain(text: str) -> str:
 
 
 def windows(text: str, most: int = 240) -> list[str]:
-    """Sentences of the plain text; longer ones in pieces."""
+    """Sentences of the plain text; longer ones in pieces, short ones with the sentence that follows or precedes."""
     out = []
     for para in plain(_WRAP.sub(r"\1 ", text)).split("\n"):
+        short = ""
         for x in _SENTENCE.split(para.strip()):
+            if len(x) < 10:
+                short = f"{short} {x}".strip()
+                continue
+            if short:
+                x, short = f"{short} {x}", ""
             if "  " in x or "\t" in x:
                 x = " ".join(x.split())
             while len(x) > most:
@@ -110,8 +128,10 @@ def windows(text: str, most: int = 240) -> list[str]:
                 k = most if k < 0 else k
                 out.append(x[:k])
                 x = x[k:].strip()
-            if len(x) >= 10 and _SPEECH.search(x):
+            if _SPEECH.search(x):
                 out.append(x)
+        if _SPEECH.search(short):
+            out.append(short)
     return out
 
 
@@ -326,7 +346,7 @@ def _fit(fit: list[tuple[list[str], set[str]]], terms: list[tuple[str, str, int]
                 if used[head] < 4 and model.scores(w, low=False)[0] >= 0.12 and toxic_score(w) < 0.5:
                     used[head] += 1
                     lacking.append(w)
-    extra = "\n".join(lacking[-1500:])
+    extra = "\n".join(lacking[-LACKING:])
     return Model(toxic, (("\n".join(reversed(lines)) + "\n" + extra) if extra else "\n".join(reversed(lines))).encode(), 0.3)
 
 
@@ -387,8 +407,9 @@ def fit(docs: DataFrame, labels: DataFrame, terms: DataFrame, per_category: int
         share = min(1.0, lacking / max(1, docs.count()))
         more = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1_000_000)) < int(share * 1_000_000)))
         sample = sample.union(more.join(by_doc.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.array(F.lit("none")).alias("cats"), "text"))
-    rows = sorted(sample.limit(3 * per_category + ordinary + 2000).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
-    known = [(r.term, (r.category or "").strip().lower(), r.severity) for r in terms.select("term", "category", "severity").limit(10_000).collect() if r.term]
+    # the shares above bound the sample but for chance
+    rows = sorted(bounded_rows(sample, 2 * (3 * per_category + ordinary) + 2000, "labelled sample"), key=lambda r: (r.doc_id is None, r.doc_id))
+    known = [(r.term, (r.category or "").strip().lower(), r.severity) for r in bounded_rows(terms.select("term", "category", "severity"), 1_000_000, "flag_terms") if r.term]
     return train([(r.text, {*r.cats} - {"none"} or {"none"}) for r in rows], known)
 
 
