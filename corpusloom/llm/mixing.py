@@ -11,7 +11,8 @@ The total is the largest that every source can serve within its cap on
 repeats, so that all targets are met; a given total keeps the caps and gives
 what is there. Prefix sums never sort a source in one task: keys fall into
 ``buckets`` ranges of their distribution, the totals of the ranges are summed
-first, and only inside a range are rows sorted.
+first, and only inside a range are rows sorted. The ranges follow the keys'
+expected distribution under the group's own weights, so they are of like size.
 
 Defined results: source types are compared trimmed and in lower case; targets
 without documents, with a null or non-positive share or cap get nothing, and
@@ -61,6 +62,23 @@ def plan_mixes(sizes: list[tuple[str, int]], targets: list[tuple[int, str, float
 
 
 _GROUP = ["mix_id", "source_type"]
+_CLASSES = 20
+
+
+def weight_classes(sized: DataFrame) -> dict[str, list[float]]:
+    """Per kind the share of its documents in each of ``_CLASSES`` classes of weight."""
+    at = F.least(F.floor(F.col("weight") * _CLASSES), F.lit(_CLASSES - 1)).cast("int")
+    out: dict[str, list[float]] = {}
+    for r in bounded_rows(sized.groupBy("kind", at.alias("c")).agg(F.count("*").alias("n")), 10_000 * _CLASSES, "weight classes"):
+        out.setdefault(r.kind, [0.0] * _CLASSES)[r.c] += r.n
+    return {k: [x / sum(v) for x in v] for k, v in out.items()}
+
+
+def range_of(key: Column, shares: Column, buckets: int) -> Column:
+    """The range of a key: its place in the distribution of the keys of documents with these weights; grows with the key."""
+    term = F.zip_with(shares, F.sequence(F.lit(0), F.lit(_CLASSES - 1)), lambda f, c: f * F.exp(-key * (c + 0.5) / _CLASSES))
+    below = F.lit(1.0) - F.aggregate(term, F.lit(0.0), lambda a, x: a + x)
+    return F.least(F.floor(F.lit(buckets) * F.greatest(below, F.lit(0.0))), F.lit(buckets - 1)).cast("int")
 
 
 def _within_budget(keyed: DataFrame, left: DataFrame) -> DataFrame:
@@ -93,21 +111,22 @@ def mix_documents(docs: DataFrame, targets: DataFrame, vocabulary: str = DEFAULT
     plan_schema = "mix_id int, source_type string, kind string, target_share double, available_tokens long, budget long, epochs long, rest long"
     per_target = spark.createDataFrame(plan, plan_schema) if plan else spark.createDataFrame([], plan_schema)
     entries = [p for p in plan if p[5] > 0]
+    classes = weight_classes(sized) if entries else {}
     if not entries:
         chosen = spark.createDataFrame([], "mix_id int, source_type string, doc_id long, n_tokens int, copies int")
     else:
         wanted = F.array(
             *[
-                F.struct(F.lit(m).cast("int").alias("mix_id"), F.lit(named).alias("source_type"), F.lit(k).alias("k"), F.lit(e).cast("long").alias("epochs"), F.lit(rest).cast("long").alias("rest"))
+                F.struct(F.lit(m).cast("int").alias("mix_id"), F.lit(named).alias("source_type"), F.lit(k).alias("k"), F.lit(e).cast("long").alias("epochs"), F.lit(rest).cast("long").alias("rest"), F.array(*map(F.lit, classes[k])).alias("shares"))
                 for m, named, k, _, _, _, e, rest in entries
             ]
         )
         keyed = (
             sized.select("doc_id", "kind", "weight", "n_tokens", F.explode(F.filter(wanted, lambda s: s["k"] == F.col("kind"))).alias("s"))
-            .select("doc_id", "weight", "n_tokens", "s.mix_id", "s.source_type", "s.epochs")
+            .select("doc_id", "weight", "n_tokens", "s.mix_id", "s.source_type", "s.epochs", "s.shares")
             .withColumn("key", -F.log(_key(F.col("doc_id"), F.col("mix_id"), F.col("epochs"))) / F.col("weight"))
-            # a monotone map of the key to ranges
-            .withColumn("bucket", F.floor(F.lit(buckets) * (F.lit(1.0) - F.exp(-F.col("key") / 2))).cast("int"))
+            .withColumn("bucket", range_of(F.col("key"), F.col("shares"), buckets))
+            .drop("shares")
         )
         keyed = cut(keyed, "mix-keys")
         left = spark.createDataFrame([(m, named, rest) for m, named, _, _, _, _, _, rest in entries], "mix_id int, source_type string, left long")

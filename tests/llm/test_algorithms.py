@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.llm import canonical, mixing, near_duplicates, packing, splitting, tokens, toxicity
 
@@ -205,6 +206,18 @@ def test_plan_mixes():
     assert [(p[2], round(p[3], 2), p[5], p[6], p[7]) for p in plan] == [("a", 0.75, 200, 2, 0), ("b", 0.25, 66, 0, 66), ("c", 0.0, 0, 0, 0)]
 
 
+def test_ranges_of_keys_are_of_like_size(spark):
+    rng = np.random.default_rng(1)
+    w = np.clip(rng.beta(2, 3, 60_000), 0.1, 1)
+    rows = [(float(x), float(k)) for x, k in zip(w, -np.log(rng.random(len(w))) / w)]
+    df = spark.createDataFrame(rows, "weight double, key double").selectExpr("*", "'a' as kind")
+    shares = F.array(*map(F.lit, mixing.weight_classes(df)["a"]))
+    got = df.select("key", mixing.range_of(F.col("key"), shares, 64).alias("b")).toPandas()
+    sizes = got.groupby("b").size()
+    assert len(sizes) == 64 and sizes.max() < 1.5 * sizes.mean()
+    assert (got.sort_values("key").b.diff().dropna() >= 0).all()
+
+
 def test_mix_meets_shares_and_caps(spark):
     rng = random.Random(6)
     rows = [(k, rng.choice(["small", *["big"] * 9]), " ".join(["word"] * rng.randrange(5, 60))) for k in range(900)]
