@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import cut
+from corpusloom.session import cut, small
 
 _DIGITS = re.compile("[0-9]+")
 _SALTS = 8
@@ -194,6 +194,7 @@ def repeated_lines(docs: DataFrame, min_docs: int = 4, min_share: float = 0.1, m
         .groupBy("source")
         .agg(F.collect_list("leaf").alias("leaves"))
     )
+    leaves = small(cut(leaves, "repeated-leaves"), 100_000)
     occ = cut(
         docs.join(leaves, "source")
         .select("doc_id", "source", "text", "leaves")
