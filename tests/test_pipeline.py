@@ -35,18 +35,42 @@ def test_pipeline_end_to_end(spark):
     assert got["http://z/4"].text.replace("\n\n", "") == long.replace("\n\n", "") and got["http://z/4"].route == "batch"
 
 
+def _raw(spark, rows):
+    at = datetime.datetime(2024, 1, 1)
+    return spark.createDataFrame([(k, e, f"http://{h}/x", "t", text, at + datetime.timedelta(hours=k)) for k, e, text, h in rows], ingest.SCHEMA)
+
+
 def test_stream_upserts(spark, tmp_path):
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
-    at = datetime.datetime(2024, 1, 1)
-    row = lambda k, text, h: (k, "e", f"http://{h}/x", "t", text, at + datetime.timedelta(hours=k))
-    for rows in ([row(1, "old", "a"), row(2, "b", "b")], [row(3, "new", "a"), row(4, None, "c")]):
-        spark.createDataFrame(rows, ingest.SCHEMA).write.mode("append").parquet(src)
-        ingest.upsert_stream(ingest.raw_documents(spark, src), out, ck).awaitTermination()
-    assert sorted((r.source_key, r.text) for r in spark.read.parquet(out).collect()) == [("a", "new"), ("b", "b")]
+    # "A/B" and "AB" have one safe name and replace each other
+    for rows in ([(1, "A/B", "old", "a"), (2, "e", "b", "b")], [(3, "AB", "new", "a"), (4, "e", None, "c")]):
+        _raw(spark, rows).write.mode("append").parquet(src)
+        ingest.upsert_stream(ingest.raw_documents(spark, src), out, ck, buckets=16).awaitTermination()
+    assert sorted((r.source_key, r.text) for r in ingest.stored(spark, out).collect()) == [("a", "new"), ("b", "b")]
     q = ingest.arrivals(ingest.raw_documents(spark, src)).writeStream.format("memory").queryName("arrivals").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("arrivals").agg(F.sum("n_documents")).first()[0] == 4
 
 
+def test_store_survives_a_crash(spark, tmp_path, monkeypatch):
+    import pytest
+
+    out = str(tmp_path / "out")
+    rows = lambda: sorted((r.entity_key, r.text) for r in ingest.stored(spark, out).collect())
+    ingest.upsert_batch(_raw(spark, [(1, "a", "one", "h"), (2, "b", "two", "h")]), 0, out, 8)
+    second = _raw(spark, [(3, "a", "three", "h")])
+    with monkeypatch.context() as m:
+        m.setattr(ingest.Store, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            ingest.upsert_batch(second, 1, out, 8)
+    assert rows() == [("a", "one"), ("b", "two")]
+    for _ in range(2):
+        ingest.upsert_batch(second, 1, out, 8)
+        assert rows() == [("a", "three"), ("b", "two")]
+    for k in range(2, 7):
+        ingest.upsert_batch(_raw(spark, [(10 + k, "b", f"v{k}", "h")]), k, out, 8)
+    assert rows() == [("a", "three"), ("b", "v6")] and len(ingest.Store(spark, out).versions()) == 3
+
+
 def test_constants():
     assert chunks.PART_COST == 33 and len(chunks.SEPARATOR) == 20
