@@ -42,10 +42,10 @@ def batched(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFra
     """(id, batch_no, parts): a document's chunks in batches that fit a prompt; no shuffle, a row's own arrays only."""
     t = docs.select(id_, F.col(text).alias("_t"), chunks.section_chunks(F.col(text)).alias("_s"))
     t = t.withColumn("_b", chunks.batch_numbers(F.transform("_s", lambda s: s["len"])))
-    numbers = F.explode(F.array_distinct("_b")).alias("batch_no")
-    each = t.select(id_, "_t", "_s", "_b", numbers)
-    mine = F.filter("_s", lambda s, i: F.element_at("_b", i + 1) == F.col("batch_no"))
-    return each.select(id_, "batch_no", chunks.slices(F.col("_t"), mine).alias("parts"))
+    # the text is sliced before the batches are exploded, so that no row carries the whole of it
+    mine = lambda no: F.filter("_s", lambda s, i: F.element_at("_b", i + 1) == no)
+    each = F.transform(F.array_distinct("_b"), lambda no: F.struct(no.alias("batch_no"), chunks.slices(F.col("_t"), mine(no)).alias("parts")))
+    return t.select(id_, F.inline(each))
 
 
 def merged(cleaned: DataFrame, id_: str = "doc_id", order: str = "batch_no", parts: str = "parts") -> DataFrame:

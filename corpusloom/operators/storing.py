@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.titles import safe_name
+from corpusloom.functions.titles import output_name, safe_name
 
 
 def last_per_source(docs: DataFrame, entity: str, source: str, order: list[str]) -> DataFrame:
@@ -29,6 +29,11 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def write_discovered(entities: DataFrame, path: str) -> None:
+    """Entities (title, depth, ...) stored under one name a (title, depth); a later run replaces what it found again."""
+    write_partitioned(entities.withColumn("stored_as", output_name(F.col("title"), F.col("depth"))), path, ["stored_as"])
+
+
 def append_quarantine(bad: DataFrame, path: str) -> None:
     """Bad replies are kept, not overwritten."""
     bad.withColumn("seen_at", F.current_timestamp()).write.mode("append").parquet(path)

@@ -56,13 +56,16 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` if it is set.
 
-    Only where it is unset (tests, local mode) a temporary folder is used.
+    Only where it is unset and everything runs in one process (tests, local
+    mode) a temporary folder is used; a cluster without the setting is an error.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="corpusloom-ckpt-")
         spark.sparkContext.setCheckpointDir(conf)
     return conf

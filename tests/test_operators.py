@@ -163,3 +163,70 @@ def test_queries_match_sql(spark, sf):
         mine = sorted(repr(tuple(str(v) for v in r)) for r in df.select(*cols).collect())
         theirs = sorted(repr(tuple(str(v) for v in r)) for r in con.sql(f"SELECT {', '.join(chr(34) + c + chr(34) for c in cols)} FROM ({sql[name]})").fetchall())
         assert mine == theirs, name
+
+
+def test_expansion_stops_at_an_empty_level(spark):
+    seeds = spark.createDataFrame([("a", 30, 10)], "title string, max_depth int, entity_limit int")
+    links = spark.createDataFrame([("a", 0, "b")], "src string, ord long, dst string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("deep", "deep")
+    found, _ = frontier.expand(seeds, links)
+    assert found.count() == 2
+    jobs = len(tracker.getJobIdsForGroup("deep"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 40  # two levels, whatever the depth allowed
+
+
+def test_bad_seeds_stop_no_others(spark):
+    seeds = spark.createDataFrame([("a", 1, 10), (None, 1, 5), ("b", None, 5), ("c", 1, -1)], "title string, max_depth int, entity_limit int")
+    good, bad = frontier.usable_seeds(seeds)
+    assert [r.title for r in good.collect()] == ["a"] and sorted(r.error for r in bad.collect()) == ["no depth", "no limit", "no title"]
+
+
+def test_live_services(spark):
+    def wiki():
+        pages = {("a", ""): {"pages": {"1": {"links": [{"title": "x"}, {"title": "y"}]}}, "continue": {"c": "2"}}, ("a", "2"): {"pages": {"1": {"links": [{"title": "z"}]}}}}
+
+        def continued(title, token):
+            if title == "broken":
+                raise OSError("down")
+            return pages.get((title, str(token.get("c", ""))), {"pages": {}})
+
+        return continued
+
+    titles = spark.createDataFrame([("a",), ("a",), ("broken",), ("none",), (None,)], "title string")
+    got = sorted((r.src, r.ord, r.dst, r.error) for r in providers.outlinks(titles, wiki, 2, gap=0, tries=2, pause=lambda k: 0.0).where("dst is not null").collect())
+    assert got == [("a", 0, "x", None), ("a", 1, "y", None), ("a", 2, "z", None)]
+    errors = providers.outlinks(titles, wiki, 2, gap=0, tries=2, pause=lambda k: 0.0).where("error is not null").collect()
+    assert [(r.src, r.error) for r in errors] == [("broken", "OSError: down")]
+
+    many = spark.createDataFrame([(f"t{k}",) for k in range(7)], "title string")
+    infos = providers.page_infos(many, lambda: lambda ts: [{"title": t, "summary": str(len(ts)), "categories": ["k"]} for t in ts], 2, size=3, gap=0).collect()
+    assert sorted((r.title, r.summary) for r in infos) == [(f"t{k}", "3" if k < 6 else "1") for k in range(7)]
+
+    def search():
+        return lambda q: (_ for _ in ()).throw(ValueError("no")) if q == "bad" else [{"url": f"http://{q}", "title": q, "score": 0.5}]
+
+    found = {r.query: r for r in providers.searches(spark.createDataFrame([("q",), ("bad",)], "query string"), search, 1, tries=1).collect()}
+    assert found["q"].results[0].url == "http://q" and found["bad"].results == [] and "no" in found["bad"].error
+    texts = providers.extractions(spark.createDataFrame([("u",), ("v",)], "url string"), lambda: lambda u: [{"title": u, "text": "1"}, {"title": None, "text": "22"}] if u == "u" else "no list", 1, tries=1)
+    assert sorted((r.url, r.pos, r.text, r.error) for r in texts.collect() if r.url == "u") == [("u", 0, "1", None), ("u", 1, "22", None)]
+    assert [r.error for r in texts.collect() if r.url == "v"] == ["unreadable answer"]
+    providers.PROVIDERS["echo"] = lambda: lambda p: p
+    assert providers.provider("echo")()("x") == "x"
+    with pytest.raises(ValueError, match="echo"):
+        providers.provider("nobody")
+
+
+def test_registry_beyond_its_bound_is_no_silent_loss(spark, tmp_path):
+    rows = spark.createDataFrame([(str(k), None) for k in range(5)], providers.REGISTRY)
+    with pytest.raises(ValueError):
+        providers.save_registry(rows, str(tmp_path / "r.json"), most=4)
+
+
+def test_discovered_entities_are_stored_per_title_and_depth(spark, tmp_path):
+    path = str(tmp_path / "found")
+    df = lambda s: spark.createDataFrame([("A/B", 1, s), ("C", 2, s)], "title string, depth int, summary string")
+    storing.write_discovered(df("old"), path)
+    storing.write_discovered(df("new").where("title = 'C'"), path)
+    assert sorted((r.title, r.summary) for r in spark.read.parquet(path).collect()) == [("A/B", "old"), ("C", "new")]
