@@ -152,12 +152,18 @@ _RESULTS = """
     t AS (SELECT plan_id, entity_id, unnest(range(len(tasks)))::INTEGER AS task_no, unnest(tasks) AS t FROM once),
     r AS (SELECT plan_id, entity_id, task_no, t.information AS information, t.query AS query, unnest(range(len(t.results)))::INTEGER AS result_no, unnest(t.results) AS x FROM t)"""
 
-_PLAN_SQL = " || ".join(
-    _text(part) if k % 2 == 0 else part
-    for k, part in enumerate(
-        [x for pair in zip(prompts.PLAN.split("%s"), ["'Ovelya'", "coalesce(parent, 'None')", "title", "summary", "categories", "'[]'", "'[]'", ""]) for x in pair][:-1]
-    )
-)
+
+
+def _prompt(template: str, *values: str) -> str:
+    """A prompt's template with SQL expressions in its gaps."""
+    parts = template.split("%s")
+    return " || ".join(x for pair in zip(map(_text, parts), (*values, "''")) for x in pair)
+
+
+_TYPES = "(SELECT string_agg('- ' || name || ': ' || description, chr(10) ORDER BY type_id) FROM entity_types)"
+_KINDS = "(SELECT string_agg('- ' || name, chr(10) ORDER BY info_id) FROM information_types)"
+_PAGE = """p AS (SELECT title, max(struct_pack(s := coalesce(summary, ''), k := coalesce(array_to_string(categories, chr(10)), ''))) AS b FROM page_info WHERE title IS NOT NULL GROUP BY title)"""
+
 
 SQL = {
     "q_bfs": _bfs("entities"),
@@ -202,5 +208,19 @@ SQL = {
     "q_doc_upsert": f"""WITH {_RESULTS} SELECT entity_id::VARCHAR AS entity_key, {_safe(_SOURCE)} AS source_key, plan_id, task_no, result_no, url FROM (SELECT *, x.url AS url FROM r)
         QUALIFY row_number() OVER (PARTITION BY entity_id, {_safe(_SOURCE)} ORDER BY plan_id DESC, task_no DESC, result_no DESC) = 1""",
     "q_incremental_skip": f"SELECT DISTINCT title FROM entities WHERE title IS NULL OR {_safe('title')} NOT IN (SELECT {_safe('entity_title')} FROM documents WHERE entity_title IS NOT NULL)",
-    "q_prompt_fields": f"WITH {_ENRICHED} SELECT title, length(p)::INTEGER AS length, md5(p) AS digest FROM (SELECT title, {_PLAN_SQL} AS p FROM x)",
+    "q_prompt_fields": f"""WITH f AS (SELECT * FROM ({_bfs("entities")})), {_PAGE},
+        x AS (SELECT f.seed, f.title, f.parent, coalesce(p.b.s, '') AS summary, coalesce(p.b.k, '') AS categories FROM f LEFT JOIN p ON p.title = f.title)
+        SELECT seed, title, length(q)::INTEGER AS length, md5(q) AS digest FROM (SELECT seed, title, {_prompt(prompts.PLAN, "seed", "coalesce(parent, 'None')", "title", "summary", "categories", _TYPES, _KINDS)} AS q FROM x)""",
+    "q_search_prompt": f"""WITH {_VALID}, {_PAGE}, n AS (SELECT entity_id, min(title) AS title FROM entities GROUP BY entity_id),
+        k AS (SELECT decision_id, entity_id, CASE WHEN valid THEN array_to_string(list_transform(coalesce(information_to_collect, []), lambda i: i.name), ', ') ELSE {_text(", ".join(x for x, _ in planning.DEFAULT_ITEMS))} END AS kinds FROM v WHERE NOT valid OR include)
+        SELECT decision_id, length(q)::INTEGER AS length, md5(q) AS digest FROM (SELECT decision_id, {_prompt(prompts.SEARCH, "n.title", "coalesce(p.b.s, '')", "coalesce(kinds, '')")} AS q FROM k JOIN n USING (entity_id) LEFT JOIN p ON p.title = n.title)""",
+    "q_clean_prompt": f"SELECT doc_id, length(q)::INTEGER AS length, md5(q) AS digest FROM (SELECT doc_id, {_prompt(prompts.CLEAN, _text(chunks.EMPTY_MARKER), 'text')} AS q FROM documents)",
+    "q_clean_batch_prompt": f"WITH {_BATCHES} SELECT doc_id, batch_no, length(q)::INTEGER AS length, md5(q) AS digest FROM (SELECT doc_id, batch_no, {_prompt(prompts.CLEAN_BATCH, 'len(parts)::VARCHAR', _text(chunks.EMPTY_MARKER), 'text')} AS q FROM formatted)",
+    "q_pipeline": f"""WITH f AS (SELECT DISTINCT title FROM ({_bfs("entities")})),
+        kept AS (SELECT title FROM f WHERE {_safe('title')} NOT IN (SELECT {_safe('entity_title')} FROM documents WHERE entity_title IS NOT NULL)),
+        ids AS (SELECT DISTINCT entity_id, title AS entity FROM entities WHERE title IN (SELECT title FROM kept)), {_RESULTS},
+        d AS (SELECT ids.entity, plan_id, task_no, result_no, x.url AS url FROM r JOIN ids USING (entity_id) WHERE result_no < 2 AND x.url IS NOT NULL),
+        s AS (SELECT *, {_safe('entity')} AS entity_key, {_safe(_SOURCE)} AS source_key FROM d)
+        SELECT entity_key, source_key, entity, plan_id, task_no, result_no, url, url AS page_title, CASE WHEN {_trusted(_DOMAIN, ())} THEN 'pass' ELSE 'single' END AS route, length(url) + 19 AS length FROM s
+        QUALIFY row_number() OVER (PARTITION BY entity_key, source_key ORDER BY plan_id DESC, task_no DESC, result_no DESC) = 1""",
 }

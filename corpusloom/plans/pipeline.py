@@ -40,8 +40,8 @@ class Tables:
 
 
 def discovered(t: Tables) -> DataFrame:
-    """Entities of all seeds with their metadata, without those stored already."""
-    entities, _ = frontier.expand(t.seeds, t.links)
+    """Entities of all usable seeds with their metadata, without those stored already."""
+    entities, _ = frontier.expand(frontier.usable_seeds(t.seeds)[0], t.links)
     return enrich.enrich(storing.not_stored(entities, t.stored), t.pages)
 
 
@@ -52,9 +52,9 @@ def decided(entities: DataFrame, t: Tables) -> DataFrame:
 
 
 def addresses(kept: DataFrame, t: Tables, k: int = 2) -> DataFrame:
-    """(entity_id, task_no, result_no, url) of the first results of every task of a kept entity."""
+    """(entity_id, plan_id, task_no, result_no, url) of the first results of every task of a kept entity."""
     ids = t.ids.join(kept.select("title").distinct(), "title", "left_semi")
-    return searching.top_results(t.plans, k).join(ids.select("entity_id"), "entity_id").select("entity_id", "task_no", "result_no", "url")
+    return searching.top_results(t.plans, k).join(ids.select("entity_id"), "entity_id").select("entity_id", "plan_id", "task_no", "result_no", "url")
 
 
 def cleaned_pages(urls: DataFrame, t: Tables) -> DataFrame:
@@ -70,10 +70,18 @@ def cleaned_pages(urls: DataFrame, t: Tables) -> DataFrame:
     return passed.unionByName(short).unionByName(joined)
 
 
+def run_counters(t: Tables, docs: DataFrame, kept: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One row: discovered, planned, included, excluded, fallbacks, downloaded."""
+    entities, _ = frontier.expand(frontier.usable_seeds(t.seeds)[0], t.links)
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    planned = planning.counters(kept.union(rejected))
+    return one(entities, "n_discovered").join(planned, F.lit(True)).join(one(docs, "n_downloaded"), F.lit(True))
+
+
 def run(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents to store, entities kept, entities rejected)."""
     kept, rejected = planning.split(decided(discovered(t), t))
     found = addresses(kept, t)
     pages = cleaned_pages(found, t)
     docs = found.join(pages, "url").withColumn("source", hosts.url_source(F.col("url"))).join(t.ids.withColumnRenamed("title", "entity"), "entity_id")
-    return storing.last_per_source(docs, "entity", "source", ["task_no", "result_no"]), kept, rejected
+    return storing.last_per_source(docs, "entity", "source", ["plan_id", "task_no", "result_no"]), kept, rejected

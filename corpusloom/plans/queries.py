@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions import chunks, hosts, prompts, replies, signals, titles
 from corpusloom.functions import text as tx
 from corpusloom.operators import enrich, frontier, planning, ranking, routing, searching, storing
-from corpusloom.session import documents, ship, table
+from corpusloom.plans import pipeline
+from corpusloom.session import bounded_rows, documents, ship, table
 
 _BASE = "https://tr.wiki.example/wiki/"
 
@@ -241,16 +242,59 @@ def q_incremental_skip(spark, sf):
     return storing.not_stored(table(spark, sf, "entities").select("title").distinct(), documents(spark, sf))
 
 
+def _registry(spark, sf, name: str, id_: str) -> str:
+    df = table(spark, sf, name)
+    rows = bounded_rows(df.select(id_, "name", *(["description"] if "description" in df.columns else [F.lit(None).alias("description")])), 10_000, name)
+    return prompts.registry_text([(r["name"], r["description"]) for r in sorted(rows, key=lambda r: r[0])])
+
+
 def q_prompt_fields(spark, sf):
-    e = enrich.enrich(_latest_entities(spark, sf), table(spark, sf, "page_info"))
-    p = prompts.plan_prompt(F.lit("Ovelya"), F.col("parent"), F.col("title"), F.col("summary"), F.col("categories"), "[]", "[]")
-    return e.select("title", F.length(p).alias("length"), F.md5(p).alias("digest"))
+    found = frontier.expand(table(spark, sf, "seeds"), table(spark, sf, "links"))[0]
+    e = enrich.enrich(found, table(spark, sf, "page_info"))
+    p = prompts.plan_prompt(F.col("seed"), F.col("parent"), F.col("title"), F.col("summary"), F.col("categories"), _registry(spark, sf, "entity_types", "type_id"), _registry(spark, sf, "information_types", "info_id"))
+    return e.select("seed", "title", F.length(p).alias("length"), F.md5(p).alias("digest"))
+
+
+def q_search_prompt(spark, sf):
+    names = table(spark, sf, "entities").groupBy("entity_id").agg(F.min("title").alias("title"))
+    kept, _ = planning.split(planning.with_fallback(_decisions(spark, sf)))
+    e = enrich.enrich(kept.join(names, "entity_id").select("decision_id", "title", "information_to_collect"), table(spark, sf, "page_info"))
+    p = prompts.search_prompt(F.col("title"), F.col("summary"), F.transform("information_to_collect", lambda x: x["name"]))
+    return e.select("decision_id", F.length(p).alias("length"), F.md5(p).alias("digest"))
+
+
+def q_clean_prompt(spark, sf):
+    p = prompts.clean_prompt(F.col("text"), chunks.EMPTY_MARKER)
+    return documents(spark, sf).select("doc_id", F.length(p).alias("length"), F.md5(p).alias("digest"))
+
+
+def q_clean_batch_prompt(spark, sf):
+    p = prompts.clean_batch_prompt(F.col("parts"), chunks.EMPTY_MARKER)
+    return _batches(spark, sf).select("doc_id", "batch_no", F.length(p).alias("length"), F.md5(p).alias("digest"))
+
+
+def _tables(spark, sf) -> pipeline.Tables:
+    """The pipeline's tables; extraction answers every address with a page headed by it, no language model answers."""
+    plans, entities = table(spark, sf, "search_plan"), table(spark, sf, "entities")
+    empty = lambda schema: spark.createDataFrame([], schema)
+    text = F.concat(F.lit("# "), F.col("url"), F.lit("\nA page about it."))
+    return pipeline.Tables(
+        seeds=table(spark, sf, "seeds"), links=table(spark, sf, "links"), pages=table(spark, sf, "page_info"), decisions=empty("title string, reply string"),
+        ids=entities.select("entity_id", "title").distinct(), plans=plans,
+        extractions=searching.results(plans).select("url").distinct().select("url", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("title"), text.alias("text")),
+        cleaned=empty("url string, batch_no int, reply string"), stored=table(spark, sf, "documents").select("entity_title"),
+    )
+
+
+def q_pipeline(spark, sf):
+    docs, _, _ = pipeline.run(_tables(spark, sf))
+    return docs.select("entity_key", "source_key", "entity", "plan_id", "task_no", "result_no", "url", F.col("title").alias("page_title"), "route", F.length("text").alias("length"))
 
 
 _QUERIES = (
     q_bfs, q_bfs_children, q_links_scan, q_title_filter, q_article_url, q_output_filename, q_sanitize, q_enrich, q_fixed_batches, q_url_source, q_url_domain, q_source_route, q_nav_artifacts, q_prose_flags,
     q_chunk_overlap, q_chunk_sections, q_batch_pack, q_batch_format, q_batch_parse, q_clean_apply, q_chunk_merge, q_route, q_extract_best, q_title_fallback, q_json_extract, q_json_quarantine, q_plan_validate,
-    q_plan_fallback, q_plan_split, q_run_counters, q_search_topk, q_doc_upsert, q_incremental_skip, q_prompt_fields,
+    q_plan_fallback, q_plan_split, q_run_counters, q_search_topk, q_doc_upsert, q_incremental_skip, q_prompt_fields, q_search_prompt, q_clean_prompt, q_clean_batch_prompt, q_pipeline,
 )
 
 
