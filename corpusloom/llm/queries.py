@@ -87,6 +87,11 @@ def p8_fill(spark: SparkSession, sf: str) -> DataFrame:
     return packing.fill_report(p8_containers(spark, sf), table(spark, sf, "pack_specs"))
 
 
+def p8_placed(spark: SparkSession, sf: str) -> DataFrame:
+    """Which documents every pack has placed."""
+    return p8_containers(spark, sf).select("pack_id", "doc_id").distinct()
+
+
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf), table(spark, sf, "mix_targets"))[0]
 
@@ -95,6 +100,13 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_documents(documents(spark, sf), table(spark, sf, "mix_targets"))[1]
 
 
+def p9_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """The targets that can be met, scaled to add to 1, and whether a budget or a cap on repeats was exceeded."""
+    shares = p9_shares(spark, sf).join(table(spark, sf, "mix_targets").select("mix_id", "source_type", "max_repeats"), ["mix_id", "source_type"])
+    exceeded = (F.col("tokens") > F.col("budget")) | (F.col("most_copies") > F.greatest(F.col("max_repeats"), F.lit(0)))
+    return shares.select("mix_id", "source_type", F.round("target_share", 6).alias("target_share"), exceeded.alias("exceeded"))
+
+
 def _toxicity(spark: SparkSession, sf: str, exact: bool = True) -> DataFrame:
     docs = documents(spark, sf)
     model = toxicity.fit(docs, table(spark, sf, "review_labels"), table(spark, sf, "flag_terms"))
@@ -113,7 +125,7 @@ def p10_sources(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.source_rates(_toxicity(spark, sf))
 
 
-_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept, p8_containers, p8_fill, p9_mix, p9_shares, p10_found, p10_scores, p10_sources)
+_QUERIES = (p1_found, p1_articles, p2_found, p2_unmatched, p3_found, p3_cleaned, p4_found, p4_pieces, p5_found, p5_cleaned, p6_found, p6_classes, p7_found, p7_kept, p8_containers, p8_fill, p8_placed, p9_mix, p9_shares, p9_targets, p10_found, p10_scores, p10_sources)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -145,4 +157,16 @@ def oracle_sql() -> dict[str, str]:
             t AS (SELECT source, count(*) AS n_source FROM documents GROUP BY source)
             SELECT n.doc_id, n.line_no FROM n JOIN c USING (source, line) JOIN t USING (source)
             WHERE c.n_docs >= 4 AND c.n_docs * 10 >= t.n_source""",
+        "p6_found": """
+            WITH w AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS ws FROM documents WHERE text IS NOT NULL),
+            s AS (SELECT doc_id, list_distinct(list_transform(range(1, len(ws) - 1), lambda k: ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2])) AS sh FROM w WHERE len(ws) >= 40),
+            e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+            j AS (SELECT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id)
+            SELECT doc_id_a, doc_id_b FROM j WHERE c >= 0.7 * (na + nb - c)""",
+        "p8_placed": """
+            SELECT pack_id, doc_id FROM pack_specs p JOIN documents d ON d.text <> '' AND (p.lang IS NULL OR lower(p.lang) = lower(regexp_extract(trim(d.lang), '^([A-Za-z]{2,3})(?:[-_].*)?$', 1)))""",
+        "p9_targets": """
+            WITH k AS (SELECT DISTINCT lower(trim(source_type)) AS k FROM documents WHERE text <> ''),
+            t AS (SELECT mix_id, source_type, CASE WHEN target_share > 0 AND max_repeats > 0 AND lower(trim(source_type)) IN (SELECT k FROM k WHERE k IS NOT NULL) THEN target_share ELSE 0 END AS s FROM mix_targets)
+            SELECT mix_id, source_type, round(CASE WHEN s > 0 THEN s / sum(s) OVER (PARTITION BY mix_id) ELSE 0 END, 6) AS target_share, false AS exceeded FROM t""",
     }
