@@ -2,9 +2,15 @@
 
 Method: a BK-tree over the normal forms of the reference entries under the
 Levenshtein distance, a true metric, so that the triangle inequality prunes
-the search yet every entry within the threshold is returned. The lists are
-small and bounded, so each task holds the trees; distinct values are mapped
-once, however often they occur, and joined back to their occurrences.
+the search yet every entry within the threshold is returned. A small radius is
+searched first; what it finds bounds how far an entry can be and still matter.
+Distinct values are mapped once, however often they occur, and joined back to
+their occurrences.
+
+A list of up to ``most_entries`` is held whole by every task. A larger one is
+cut into shards of that size by a hash of the id: every shard's tree is
+searched for a bounded portion of the values at a time, the two best entries
+of each shard are kept, and the winners of the shards are merged.
 
 A value is brought to candidate forms first (wrappers and list marks removed,
 word order, abbreviated words), each is searched within a threshold that grows
@@ -25,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import bounded_rows
+from corpusloom.session import bounded_rows, small
 
 
 def pattern(a: str) -> tuple[dict[str, int], int]:
@@ -181,6 +187,7 @@ def _abbreviations(entry: str) -> Iterator[str]:
                     yield "".join([short[-1], *short[:-1]])
 
 
+_FAR = 0.28
 _CLEARLY = 0.06  # how much farther every other entry must be for a far one to count
 
 
@@ -205,12 +212,8 @@ class Matcher:
         """Most edits that a form of ``n`` letters may differ by."""
         return 0 if n < 3 else 1 if n < 5 else 2 if n < 8 else 3 if n < 10 else round(n * 0.4)
 
-    def find(self, value: str) -> int:
-        """The id meant, or -1.
-
-        Beyond a relative distance of 0.28 the best entry counts only if every
-        other entry is clearly farther away.
-        """
+    def best(self, value: str) -> list[tuple[float, int]]:
+        """(cost, id) of the two best entries within the threshold, best first."""
         best: dict[int, float] = {}
         dotted = re.search(r"\w\.\W*\w", value) is not None
         searches = []
@@ -231,14 +234,24 @@ class Matcher:
                     for r in refs:
                         if cost < best.get(r, 9):
                             best[r] = cost
-        if not best:
-            return -1
-        order = sorted((c, r) for r, c in best.items())
-        least, ref = order[0]
-        second = order[1][0] if len(order) > 1 else 1.0
-        if second - least < 1e-9 or (least > 0.28 and second - least < _CLEARLY):
-            return -1
-        return ref
+        return sorted((c, r) for r, c in best.items())[:2]
+
+    def find(self, value: str) -> int:
+        """The id meant, or -1."""
+        return decide(self.best(value))
+
+
+def decide(best: list[tuple[float, int]]) -> int:
+    """The id meant by the best entries, or -1.
+
+    Beyond a relative distance of 0.28 the best entry counts only if every
+    other entry is clearly farther away.
+    """
+    if not best:
+        return -1
+    (least, ref), *others = best
+    second = others[0][0] if others else 1.0
+    return -1 if second - least < 1e-9 or (least > _FAR and second - least < _CLEARLY) else ref
 
 
 def _map(lists: dict[str, list[tuple[int, str, list[str]]]]):
@@ -252,26 +265,61 @@ def _map(lists: dict[str, list[tuple[int, str, list[str]]]]):
     return run
 
 
+_PORTION = 20_000  # values that a shard searches at a time
+
+
+def _search_shard(key: tuple, values, entries):
+    """The two best entries of one shard for each of a portion of the values."""
+    import pandas as pd
+
+    m = Matcher([(int(r), n, list(o) if o is not None else []) for r, n, o in zip(entries.ref, entries.name, entries.others)])
+    rows = [(v, c, r) for v in values.value for c, r in m.best(v)]
+    return pd.DataFrame(rows, columns=["value", "cost", "ref"]).astype({"value": "object", "cost": "float64", "ref": "int32"})
+
+
+def _map_sharded(values: DataFrame, kind: str, entries: DataFrame, most_entries: int) -> DataFrame:
+    """(field_kind, value, ref_id) of distinct ``values`` over a list (ref, name, others) of any size."""
+    shards = -(-entries.count() // most_entries)
+    portions = max(1, -(-values.count() // _PORTION))
+    shard = F.pmod(F.xxhash64("ref"), F.lit(shards)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = values.select("value", F.pmod(F.xxhash64("value"), F.lit(portions)).cast("int").alias("portion"), every(shards).alias("shard"))
+    right = entries.select("ref", "name", "others", shard.alias("shard"), every(portions).alias("portion"))
+    found = left.groupBy("shard", "portion").cogroup(right.groupBy("shard", "portion")).applyInPandas(_search_shard, "value string, cost double, ref int")
+    best = found.groupBy("value").agg(F.slice(F.array_sort(F.collect_list(F.struct("cost", "ref"))), 1, 2).alias("b"))
+    gap = F.coalesce(F.get("b", F.lit(1))["cost"], F.lit(1.0)) - F.col("b")[0]["cost"]
+    ref = F.when((gap < 1e-9) | ((F.col("b")[0]["cost"] > _FAR) & (gap < _CLEARLY)), F.lit(-1)).otherwise(F.col("b")[0]["ref"])
+    return values.join(best, "value", "left").select(F.lit(kind).alias("field_kind"), "value", F.coalesce(ref, F.lit(-1)).cast("int").alias("ref_id"))
+
+
 def map_values(occurrences: DataFrame, lists: dict[str, DataFrame], most_entries: int = 20_000) -> DataFrame:
     """``occurrences`` (field_kind, value, ...) with ref_id for every value to be mapped.
 
-    ``lists`` gives for each field_kind a DataFrame (id, name, alt_names) of at
-    most ``most_entries`` rows; larger lists are rejected. Occurrences whose
-    value is null, blank or exactly a name of the list are left out.
+    ``lists`` gives for each field_kind a DataFrame (id, name, alt_names), held
+    by every task up to ``most_entries`` rows and searched in shards beyond.
+    Occurrences whose value is null, blank or exactly a name of the list are
+    left out.
     """
     entries: dict[str, list] = {}
+    large: dict[str, DataFrame] = {}
+    names = None
     for kind, df in lists.items():
-        rows = bounded_rows(df, most_entries, kind)
-        entries[kind] = [(r[0], r[1], [x for x in r[2] or [] if x]) for r in rows if r[1]]
-    exact = F.lit(False)
-    for kind, rows in entries.items():
-        if rows:
-            exact = exact | ((F.col("field_kind") == kind) & F.col("value").isin([r[1] for r in rows]))
-    open_values = occurrences.where(F.col("value").isNotNull() & F.col("value").rlike(r"(?U)\S") & ~exact)
+        known = df.select(*[F.col(c).alias(n) for c, n in zip(df.columns, ("ref", "name", "others"))]).where("name <> ''")
+        if known.count() > most_entries:
+            large[kind] = known.select("ref", "name", F.filter(F.coalesce("others", F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != "")).alias("others"))
+        else:
+            entries[kind] = [(r.ref, r.name, [x for x in r.others or [] if x]) for r in bounded_rows(known, most_entries, kind)]
+        own = known.select(F.lit(kind).alias("field_kind"), F.col("name").alias("value")).distinct()
+        names = own if names is None else names.union(own)
+    open_values = occurrences.where(F.col("value").isNotNull() & F.col("value").rlike(r"(?U)\S") & F.col("field_kind").isin(list(lists)))
+    open_values = open_values.join(small(names, most_entries * len(lists)), ["field_kind", "value"], "left_anti")
     sc = occurrences.sparkSession.sparkContext
+    distinct = open_values.select("field_kind", "value").distinct()
     # few bytes but much work a row: spread by rows, or they would be merged into one task
-    distinct = open_values.select("field_kind", "value").distinct().repartition(max(8, 3 * sc.defaultParallelism))
-    mapped = distinct.mapInArrow(_map(entries), "field_kind string, value string, ref_id int")
+    spread = distinct.where(F.col("field_kind").isin(list(entries))).repartition(max(8, 3 * sc.defaultParallelism))
+    mapped = spread.mapInArrow(_map(entries), "field_kind string, value string, ref_id int")
+    for kind, df in large.items():
+        mapped = mapped.union(_map_sharded(distinct.where(F.col("field_kind") == kind).select("value"), kind, df, most_entries))
     return open_values.join(mapped, ["field_kind", "value"])
 
 

@@ -294,3 +294,25 @@ def test_minhash_symbols_estimate_similarity():
     h = near_duplicates._Hashes()
     a, b = near_duplicates.shingles(words, 3, h), near_duplicates.shingles(words[:-30], 3, h)
     assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) == pytest.approx(268 / 298, abs=1e-9)
+
+
+def test_shards_of_a_list_give_what_the_whole_list_gives(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abdeiklmnorstu") for _ in range(rng.randrange(5, 12)))
+    names = sorted({f"{word()} {word()}" for _ in range(120)})
+    ref = spark.createDataFrame([(k, n, [word()] if k % 3 else None) for k, n in enumerate(names)], "id int, name string, alt_names array<string>")
+    typo = lambda x: x[: (k := rng.randrange(len(x)))] + rng.choice("xyz") + x[k + 1 :]
+    values = [*(typo(n) for n in names), *(typo(typo(n)) for n in names), *(word() for _ in range(40)), names[0]]
+    occ = spark.createDataFrame([(k, "city", v) for k, v in enumerate(values)], "id int, field_kind string, value string")
+    whole = {r.id: r.ref_id for r in canonical.map_values(occ, {"city": ref}).collect()}
+    sharded = {r.id: r.ref_id for r in canonical.map_values(occ, {"city": ref}, most_entries=25).collect()}
+    assert whole == sharded and len(values) - 1 not in whole
+    assert sum(whole[k] == k for k in range(len(names))) > 0.9 * len(names)
+
+
+def test_short_and_joined_insults_are_windows():
+    assert toxicity.windows("you idiot") == ["you idiot"]
+    assert toxicity.windows("Go. You fool. The miller came home late.")[0].startswith("go. you fool.")
+    joined = "-".join(["you", "are", "a", "complete", "and", "utter", "fool", "and", "nobody", "likes", "you"])
+    assert toxicity.windows(joined) == [joined.replace("-", " ")]
+    assert toxicity.windows("https://example.org/" + "abc/" * 30) == []
