@@ -268,5 +268,34 @@ def test_repeated_lines_equal_brute_force(spark):
 
 def test_leaf_templates():
     t = repeated_lines.LeafTemplates()
-    assert t.add("a b c d".split(), 2) == 0 and t.add("a b x d".split(), 3) == 0 and t.add("q r s t".split(), 1) == 1
-    assert t.templates[0] == ["a", "b", None, "d"] and t.covered == [5, 1]
+    assert t.add("a b c d".split()) == 0 and t.add("a b x d".split()) == 0 and t.add("q r s t".split()) == 1
+    assert t.templates[0] == ["a", "b", None, "d"]
+
+
+def test_cleaned_documents_lack_lines_of_templates_that_cover_many_only_together(spark):
+    months = ["January", "February", "March", "April", "May", "June"]
+    rows = [(k, "s", f"The article about mill number {'abcdef'[k]} and its people.\nChecked by the staff of the Atlas Review in {m} of this year\nA pattern about {m} and {'uvwxyz'[k]} of {'abcdef'[k]}") for k, m in enumerate(months)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    assert repeated_lines.repeated_lines(df).count() == 0
+    assert sorted((r.doc_id, r.line_no, r.n_template) for r in repeated_lines.template_lines(df).where("line_no = 1").collect()) == [(k, 1, 6) for k in range(6)]
+    cleaned = {r.doc_id: r.clean_text for r in repeated_lines.without_repeated_lines(df).collect()}
+    assert all("Checked" not in t and "A pattern" in t for t in cleaned.values())
+
+
+def test_templates_count_distinct_documents(spark):
+    # two member lines in each of two documents are two documents, not four
+    text = lambda k: f"Checked by the staff of the Atlas Review in {k} of this year\nChecked by the staff of the Atlas Review in x{k} of this year"
+    df = spark.createDataFrame([(k, "s", text("ab"[k])) for k in range(2)], "doc_id long, source string, text string")
+    assert repeated_lines.template_lines(df).count() == 0 and repeated_lines.template_lines(df, min_docs=2).count() == 4
+
+
+def test_many_unlike_lines_of_one_leaf_are_quick():
+    import time
+
+    tree, rng = repeated_lines.LeafTemplates(), np.random.default_rng(3)
+    began = time.perf_counter()
+    at = {tree.add(["the", "same", "path", *(f"w{x}" for x in rng.integers(0, 100_000, 9))]) for _ in range(20_000)}
+    assert len(at) == 20_000 and time.perf_counter() - began < 10
+    # the nearest template is found, as by looking at all
+    a = tree.add("the same path leads from the old mill to town".split())
+    assert tree.add("the same path leads from the new mill to town".split()) == a and tree.templates[a].count(None) == 1
