@@ -86,9 +86,9 @@ def _sets(n: int, min_words: int):
                 if len(s):
                     raw = s.tobytes()
                     ids.append(i)
-                    keys.append(xxhash.xxh3_64_intdigest(raw) - (1 << 63))
+                    keys.append(xxhash.xxh3_128_digest(raw))
                     sets.append(s.view(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], names=["doc_id", "set_key", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(sets, pa.list_(pa.int32()))], names=["doc_id", "set_key", "set"])
 
     return run
 
@@ -135,20 +135,28 @@ def _signatures(segments: int, width: int):
     return run
 
 
-def _candidate_pairs(sigs: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs (a < b) that share a signature; busy signatures in blocks."""
-    w = Window.partitionBy("sig")
-    rows = sigs.withColumn("c", F.count(F.lit(1)).over(w)).where("c > 1")
-    ranked = rows.withColumn("grid", F.ceil(F.col("c") / _BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("grid")).cast("int"))
+def _pairs_within(rows: DataFrame, key: str, id_: str, near=None) -> DataFrame:
+    """Pairs (a < b) of ``id_`` that share ``key``; ``rows`` has the size ``c`` of each key's group.
+
+    A group is split into blocks of about ``_BLOCK`` rows whose pairs are keys
+    of their own, so no task sees a whole large group.
+    """
+    ranked = rows.where("c > 1").withColumn("grid", F.ceil(F.col("c") / _BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64(id_), F.col("grid")).cast("int"))
+    rest = [x for x in rows.columns if x != "c"]
     other = F.explode(F.sequence(F.lit(0), F.col("grid") - 1)).alias("other")
-    keyed = ranked.select("sig", "rep", "n", "block", other).select(
-        "sig", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "n"
-    )
+    keyed = ranked.select(*rest, "block", other).select(*rest, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block")
     a, b = keyed.alias("a"), keyed.alias("b")
-    near = F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * F.lit(threshold)
-    on = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.hi") == F.col("b.hi"))
+    on = (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.lo") == F.col("b.lo")) & (F.col("a.hi") == F.col("b.hi"))
     once = (F.col("a.lo") == F.col("a.hi")) | (F.col("a.block") != F.col("b.block"))
-    return a.join(b, on & (F.col("a.rep") < F.col("b.rep")) & near & once).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b")).distinct()
+    on = on & (F.col(f"a.{id_}") < F.col(f"b.{id_}")) & once
+    return a.join(b, on if near is None else on & near).select(F.col(f"a.{id_}").alias("a"), F.col(f"b.{id_}").alias("b"))
+
+
+def _candidate_pairs(sigs: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a < b) that share a signature and whose sets are of like size."""
+    rows = sigs.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("sig")))
+    near = F.least("a.n", "b.n") >= F.greatest("a.n", "b.n") * F.lit(threshold)
+    return _pairs_within(rows, "sig", "rep", near).distinct()
 
 
 def _small(ids: DataFrame, most: int = 200_000) -> DataFrame:
@@ -162,7 +170,7 @@ def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0
     Returns ``links`` (a, b, similarity), a < b, and ``members`` (doc_id, rep):
     every document with shingles and the smallest doc_id with the same set.
     """
-    sets = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_sets(shingle, min_words), "doc_id long, set_key long, set array<int>"), "shingle-sets")
+    sets = cut(docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(_sets(shingle, min_words), "doc_id long, set_key binary, set array<int>"), "shingle-sets")
     keys = sets.select("doc_id", "set_key")
     members = cut(keys.join(keys.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "set_key").select("doc_id", "rep"), "members")
     copies = members.where("doc_id <> rep").select("doc_id")
@@ -183,19 +191,22 @@ def near_duplicate_links(docs: DataFrame, shingle: int = 5, threshold: float = 0
 
 
 def document_pairs(links: DataFrame, members: DataFrame) -> DataFrame:
-    """All pairs of documents (doc_id_a < doc_id_b): links expanded by membership, and copies."""
+    """All pairs of documents (doc_id_a < doc_id_b): links expanded by membership, and copies.
+
+    The number of rows grows with the square of a group; ``near_duplicate_classes``
+    gives the same groups with one row a document.
+    """
     links = cut(links, "links")
     linked = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).distinct()
     lone = members.join(linked, "rep", "left_semi")
     ma, mb = lone.select(F.col("rep").alias("a"), F.col("doc_id").alias("x")), lone.select(F.col("rep").alias("b"), F.col("doc_id").alias("y"))
     across = links.join(ma, "a").join(mb, "b").select("x", "y")
-    several = members.groupBy("rep").count().where("count > 1").select("rep")
-    copies = members.join(several, "rep", "left_semi")
-    same = copies.alias("l").join(copies.alias("r"), (F.col("l.rep") == F.col("r.rep")) & (F.col("l.doc_id") < F.col("r.doc_id"))).select(F.col("l.doc_id").alias("x"), F.col("r.doc_id").alias("y"))
+    several = members.groupBy("rep").agg(F.count("*").alias("c")).where("c > 1")
+    same = _pairs_within(members.join(several, "rep"), "rep", "doc_id").select(F.col("a").alias("x"), F.col("b").alias("y"))
     return across.union(same).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
 
 
-def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
+def components(links: DataFrame, most_rounds: int = 200) -> DataFrame:
     """(node, class_id): connected components of links (a, b) by alternating large-star and small-star rounds."""
     edges = cut(links.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).where("u <> v"), "edges")
     before = None
