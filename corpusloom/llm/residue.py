@@ -153,6 +153,13 @@ def _slug(url: str | None) -> str:
     return re.sub(r"[?#].*", "", url or "").rstrip("/").rsplit("/", 1)[-1].removesuffix(".html")
 
 
+_VALUES = pa.schema([("line", pa.int64()), ("value", pa.int64())])
+
+
+def _hash(s: str) -> int:
+    return xxhash.xxh3_64_intdigest(s) - (1 << 63)
+
+
 _PLAIN = str.maketrans("ışçğüöâîûäéèáàê", "iscguoaiuaeeaae")
 
 
@@ -175,9 +182,8 @@ def address(title: str | None, url: str | None) -> str:
     return re.sub(r"[-_]?\d+$", "", _low(_slug(url)).translate(_PLAIN)) or _low((title or "").replace("&nbsp;", " ").partition(" | ")[0])
 
 
-def page_lines(text: str, names: list[str]) -> list[str]:
-    """Skeletons of a page's lines that are more than its own name."""
-    low = text.lower().replace("i̇", "i")
+def page_lines(low: str, names: list[str]) -> list[str]:
+    """Skeletons of the lines, of a page in small letters, that are more than its own name."""
     for x in names:
         if x in low:
             low = low.replace(x, "\x01")
@@ -233,38 +239,34 @@ _OUT = pa.schema(
     ]
 )
 _FIRST = "doc_id long, address long, lines array<long>, votes array<int>, longest long, filler boolean, kept array<struct<key: string, low: long>>, slots array<struct<template: long, value: long, wrapping: long, name: long, whole: boolean>>"
-_VALUES = pa.schema([("line", pa.int64()), ("value", pa.int64())])
-
-
-def _hash(s: str) -> int:
-    return xxhash.xxh3_64_intdigest(s) - (1 << 63)
-
+def _pages(whole: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for i, text, title, entity, url in zip(*(c.to_pylist() for c in b.columns)):
+                names = page_names(title, entity, url)
+                lines, votes, longest, filler, kept, slots = [], [], None, False, {}, []
+                if text and not text.isspace():
+                    low = text.lower().replace("i̇", "i")
+                    found: dict[int, int] = {}
+                    best = 0
+                    for x in page_lines(low, names):
+                        h = _hash(x)
+                        found[h] = 0
+                        if len(x) > best:
+                            best, longest = len(x), h
+                    lines, votes = list(found), [_vote(low)]
+                    filler = any(map(is_filler, text.split("\n")))
+                    if filler or not whole:
+                        kept, slots = unfilled(text, _own(title, entity, _slug(url))), slots_of(text, names)
+                if title and (filler or not whole):
+                    slots = [*slots, *((*x[:4], True) for x in slots_of(title, names))]
+                if lines or slots:
+                    rows.append((i, _hash(address(title, url)), lines, votes, longest, filler, [{"key": k, "low": v} for k, v in sorted(kept.items())], [dict(zip(("template", "value", "wrapping", "name", "whole"), x)) for x in sorted(set(slots))]))
+            cols = list(zip(*rows)) if rows else [[] for _ in _OUT]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        rows = []
-        for i, text, title, entity, url in zip(*(c.to_pylist() for c in b.columns)):
-            names = page_names(title, entity, url)
-            lines, votes, longest, filler, kept = [], [], None, False, {}
-            slots = [(*x[:4], True) for x in slots_of(title, names)] if title else []
-            if text and not text.isspace():
-                found: dict[int, int] = {}
-                best = 0
-                raw = text.split("\n")
-                for x in page_lines(text, names):
-                    h = _hash(x)
-                    found[h] = 0
-                    if len(x) > best:
-                        best, longest = len(x), h
-                lines = list(found)
-                votes = [_vote(text.lower())]
-                filler = any(map(is_filler, raw))
-                kept = unfilled(text, _own(title, entity, _slug(url)))
-                slots += slots_of(text, names)
-            if lines or slots:
-                rows.append((i, _hash(address(title, url)), lines, votes, longest, filler, [{"key": k, "low": v} for k, v in sorted(kept.items())], [dict(zip(("template", "value", "wrapping", "name", "whole"), x)) for x in sorted(set(slots))]))
-        cols = list(zip(*rows)) if rows else [[] for _ in _OUT]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _OUT)], schema=_OUT)
+    return run
 
 
 def anchor(key: str) -> str:
@@ -357,13 +359,13 @@ def template_residue(docs: DataFrame, min_pages: int = 2, whole: bool = False) -
     """(doc_id, residue_kind), at most one row a document.
 
     ``docs`` needs doc_id, text, title, entity_title, url. ``whole`` leaves out
-    the placeholders, and aligns slots only of pages that would be filler otherwise.
+    the placeholders, and aligns slots only among pages that would be filler otherwise.
     """
-    first = cut(docs.where("doc_id is not null").select("doc_id", "text", "title", "entity_title", "url").mapInArrow(_pages, _FIRST), "residue")
+    first = cut(docs.where("doc_id is not null").select("doc_id", "text", "title", "entity_title", "url").mapInArrow(_pages(whole), _FIRST), "residue")
     messages = cut(message_pages(first, min_pages), "residue-messages")
-    kept = first.select("doc_id", "filler", F.inline("kept"))
-    kept = kept.join(kept.groupBy("key").agg(F.countDistinct("doc_id").alias("n_kept"), F.max("filler").alias("with_filler")), "key").where("with_filler" if whole else "true")
-    shown = shown_slots(first.where("filler") if whole else first)
+    kept = first.select("doc_id", F.inline("kept"))
+    kept = kept.join(kept.groupBy("key").agg(F.countDistinct("doc_id").alias("n_kept")), "key")
+    shown = shown_slots(first)
     unfilled_ids = _unfilled_slots(docs, kept.select("doc_id", "key", "low", "n_kept"), min_pages)
     placeholders = shown.union(unfilled_ids).distinct().withColumn("open", F.lit(True))
     rows = (
