@@ -17,8 +17,8 @@ def let(x: Column, f: Callable[[Column], Column]) -> Column:
 
 
 def casefold(x: Column) -> Column:
-    """Full case folding for the letters that occur: dotted capital I becomes two code points, sharp s becomes ss."""
-    return F.replace(F.lower(F.replace(x, F.lit("İ"), F.lit("i̇"))), F.lit("ß"), F.lit("ss"))
+    """Case folding: dotted capital I becomes two code points, sharp s becomes ss, final sigma and long s become plain."""
+    return F.translate(F.replace(F.lower(F.replace(x, F.lit("İ"), F.lit("i̇"))), F.lit("ß"), F.lit("ss")), "ςſ", "σs")
 
 
 def strip(x: Column) -> Column:

@@ -22,7 +22,7 @@ def _strip(x: str) -> str:
 
 
 def _fold(x: str) -> str:
-    return f"replace(lower(replace({x}, 'İ', 'i̇')), 'ß', 'ss')"
+    return f"translate(replace(lower(replace({x}, 'İ', 'i̇')), 'ß', 'ss'), 'ςſ', 'σs')"
 
 
 def _keep(x: str) -> str:
