@@ -147,7 +147,7 @@ def pack_documents(
     vocabulary: str = DEFAULT_VOCABULARY,
     most_documents: int = DOCUMENTS,
     attention: float = ATTENTION,
-    share_rows: int = 50_000,
+    share_rows: int = 20_000,
     rule: str = "norm",
     weights: tuple[float, float, float] = (1.0, 0.1, 0.5),
 ) -> DataFrame:
