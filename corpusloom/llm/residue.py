@@ -374,6 +374,8 @@ def template_residue(docs: DataFrame, min_pages: int = 2, whole: bool = False) -
         .join(small(cut(placeholders, "residue-open"), 1_000_000), "doc_id", "left")
         .select("doc_id", F.when(F.col("open"), F.lit("placeholder")).when(F.col("filler"), F.lit("filler")).alias("residue_kind"))
         .where("residue_kind is not null")
+        .groupBy("doc_id")  # rows that come again: a placeholder before filler
+        .agg(F.max("residue_kind").alias("residue_kind"))
     )
     found = messages.select("doc_id", F.col("kind").alias("residue_kind")).union(rows.join(small(messages.select("doc_id"), 1_000_000), "doc_id", "left_anti"))
     return found.where("residue_kind <> 'placeholder'") if whole else found

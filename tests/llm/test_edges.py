@@ -58,8 +58,10 @@ def test_odd_rows(spark, odd, name):
     rows = ops(spark)[name](odd).collect()
     if name == "articles":
         assert len(rows) == odd.count()
-    if name in ("furniture", "residue", "toxic"):
+    if name in ("furniture", "toxic"):
         assert not rows
+    if name == "residue":  # one sentence 4,000 times over is dummy copy, however long
+        assert [tuple(r) for r in rows] == [(4, "filler")]
     if name == "without lines":
         assert len(rows) == 8 and {r.n_removed for r in rows} == {0} and all(r.clean_text == r.text for r in rows)
     if name == "shares":
