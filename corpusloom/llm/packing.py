@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.tokens import DEFAULT_VOCABULARY, token_counts
 from corpusloom.session import bounded_rows, cut
 
-DOCUMENTS, ATTENTION = 64, 0.75
+DOCUMENTS, ATTENTION = 128, 0.75
 
 _OUT = pa.schema(
     [("pack_id", pa.int32()), ("container", pa.string()), ("doc_id", pa.int64()), ("part", pa.int32()), ("token_start", pa.int32()), ("n_tokens", pa.int32())]
