@@ -4,6 +4,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpusloom.llm import main_content, markup, repeated_lines, residue, slots
@@ -155,6 +156,43 @@ def test_content_regions():
     assert markup.content_regions(page, sigma=0.5)[4:8] == [True] * 4 and not any(markup.content_regions(page, sigma=0.5)[:3])
 
 
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("a&#9;b", ["html"]),
+        ("a &#00000038; b", ["html"]),
+        ("a &# b &# <b>c</b>", ["html"]),
+        ("a <y &amp; b <c", ["html"]),
+        ("a </y &amp;> b", ["html"]),
+        ("AT&T; R&D, &copy and a &# b", []),
+        ("\\" + "long" * 8 + "{a}", ["latex"]),
+    ],
+)
+def test_entities_and_commands_of_any_length(text, kinds):
+    assert markup.kinds(text) == kinds
+
+
+def test_html_over_several_lines_is_no_text():
+    prose = "A long line of prose that goes on for a while and says something about the mills."
+    for hidden in ("<!--\nwords of a remark that nobody should see\n-->", "<script>\nvar words = 'of a script that nobody should see';\n</script>"):
+        page = f"{prose}\n{hidden}\n{prose} <b>Mill</b>"
+        assert markup.content_regions(page) == [True, False, False, False, True]
+        ((_, kinds, clean, content, *_),) = [x.values() for x in next(markup._clean([pa.record_batch([[1], [page]], ["doc_id", "text"])])).to_pylist()]
+        assert kinds == ["html"] and "nobody" not in clean + content and "--" not in clean + content
+        assert [x for x in clean.split("\n") if x] == [prose, f"{prose} Mill"]
+
+
+def test_kinds_come_from_the_pass_that_cleans(spark):
+    prose = "A long line of prose that goes on for a while and says something about the mills."
+    page = "\n".join([*(f"[Page {k}](/p/{k})" for k in range(6)), "Mills", prose, prose])
+    docs = spark.createDataFrame([(1, page), (2, None), (3, prose), (4, "a [[b]] <i>c</i>")], "doc_id long, text string")
+    found = markup.markup_kinds(docs)
+    assert "clean_text" in found._jdf.queryExecution().optimizedPlan().toString()
+    # marks of lines that the regions leave out are listed as well
+    assert sorted(map(tuple, found.collect())) == [(1, "markdown"), (4, "html"), (4, "wiki")]
+    assert markup.clean_markup(docs).where("doc_id = 1").head().clean_text == f"Mills\n{prose}\n{prose}"
+
+
 @pytest.mark.parametrize("text", ["{{title}}", "a ${name} b", "%%CITY%%", "%(price)s", "<%= entity.title %>", "{% block x %}", "__PRICE__", "#CAPTION#", "@Model.city", "[INSERT TITLE HERE]", "<your price here>", "«first_name»", "TBD: title", "{0} city {1}", "Untitled {n}", "city: undefined", "title: [object Object]"])
 def test_slots(text):
     found = lambda x: bool(residue.slots_of(x, []))
